@@ -208,8 +208,9 @@ def collect_all(df: DataFrame, rules: Sequence[Rule], as_of=None) -> DataFrame:
         elif rule.kind == "FRESHNESS" and rule.expression is None:
             good = boundary_diff("day", column, as_timestamp(as_of)) <= rule.threshold
         elif rule.kind == "STATISTICAL" and rule.expression is None:
-            measured = df.agg(F.avg(column).alias("m")).scalar(), df.agg(F.stddev(column).alias("s")).scalar()
-            good = F.abs(column - measured[0]) <= measured[1] * rule.threshold
+            centre, spread = f"_mean_{position}", f"_spread_{position}"
+            df = df.withColumns({centre: df.agg(F.avg(column)).scalar(), spread: df.agg(F.stddev(column)).scalar()})
+            good = F.abs(column - F.col(centre)) <= F.col(spread) * rule.threshold
         else:
             good = F.expr(rule.expression)
         broken = ~good

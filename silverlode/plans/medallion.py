@@ -220,8 +220,14 @@ class Medallion:
         table = f"{source.target.gold}_status_history"
         changes = self.layer.staged(table, result.batch_id)
         if changes is None:
-            last = self.layer.read(silver).select(key, status) if self.layer.exists(silver) else None
             timed = rows.withColumn(EVENT_TS, F.coalesce(F.col(EVENT_TS), now))
+            last = None
+            if self.layer.exists(silver):
+                # Events older than the stored state never became current, so they are no transition.
+                last = self.layer.read(silver).select(key, status, F.col(EVENT_TS).alias("_stored_ts"))
+                timed = timed.join(last.select(key, "_stored_ts"), key, "left").where(
+                    F.col("_stored_ts").isNull() | (F.col(EVENT_TS) >= F.col("_stored_ts"))
+                ).drop("_stored_ts")
             changes = transitions(timed, key, status, EVENT_TS, [status], last)
             changes = self.layer.stage(changes.withColumn("batch_id", F.lit(result.batch_id)), table, result.batch_id)
         self.layer.replace_partitions(changes, table, ["batch_id"])

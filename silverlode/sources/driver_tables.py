@@ -305,12 +305,49 @@ def order_item_raw(t: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def _seconds(value: Column) -> Column:
+    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), value.cast("decimal(18,6)"))
+
+
+def landed_order(t: Mapping[str, DataFrame]) -> DataFrame:
+    key = F.col("event_id")
+    return t["events"].where(F.col("event_type") == "purchase").select(
+        _text("event_id").alias("order_id"),
+        _text("user_id").alias("customer_id"),
+        _money("value").alias("total_amount"),
+        _choose(key % 3, {0: "COMPLETED", 1: "PENDING"}, "CANCELLED").alias("order_status"),
+        key.alias("kafka_offset"),
+        F.col("ts").alias("kafka_timestamp"),
+        (F.col("ts") + _seconds(key % 400)).alias("ingested_at"),
+        (key % 4 != 0).alias("processed_to_gold"),
+    )
+
+
+def gold_order(t: Mapping[str, DataFrame]) -> DataFrame:
+    key = F.col("kafka_offset")
+    return t["landed_order"].where("processed_to_gold").select(
+        "order_id", "customer_id", "total_amount", "order_status",
+        (F.col("ingested_at") + _seconds(key % 90)).alias("created_at"),
+        F.concat(F.lit("STREAM_"), (key % 20).cast("string")).alias("batch_id"),
+    )
+
+
+def landed_item(t: Mapping[str, DataFrame]) -> DataFrame:
+    return t["fact_order_item"].select(
+        "order_item_id", "order_id", (F.col("ship_date").cast("timestamp_ntz") + _seconds(F.col("l_orderkey") % 300)).alias("ingested_at")
+    )
+
+
+def landed_delivery(t: Mapping[str, DataFrame]) -> DataFrame:
+    return t["fact_delivery"].select("delivery_id", "order_id", F.col("delivery_date").alias("ingested_at"))
+
+
 ENTITIES: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = {
     fn.__name__: fn
     for fn in (
         fact_order_item, fact_order, dim_customer, dim_restaurant, dim_menu, dim_location, dim_delivery_agent,
         dim_customer_address, fact_delivery, event_order, status_history, order_history, delivery_history,
-        ingest_run, dead_letter, alerts, order_item_raw,
+        ingest_run, dead_letter, alerts, order_item_raw, landed_order, gold_order, landed_item, landed_delivery,
     )
 }
 

@@ -113,6 +113,18 @@ SELECT concat(cast(l_orderkey AS varchar), '-', cast(l_linenumber AS varchar)) A
        ELSE cast(cast(cast(l_extendedprice AS decimal(18,2)) * cast(l_quantity AS integer) AS decimal(18,2)) AS varchar) END AS subtotal,
   CASE WHEN l_partkey % 61 = 0 THEN 'unknown' ELSE cast(cast(l_shipdate AS date) AS varchar) END AS order_timestamp,
   l_partkey AS src_partkey, l_suppkey AS src_suppkey FROM lineitem""",
+    "landed_order": """
+SELECT cast(event_id AS varchar) AS order_id, cast(user_id AS varchar) AS customer_id, cast(value AS decimal(18,2)) AS total_amount,
+  CASE event_id % 3 WHEN 0 THEN 'COMPLETED' WHEN 1 THEN 'PENDING' ELSE 'CANCELLED' END AS order_status, event_id AS kafka_offset,
+  ts AS kafka_timestamp, ts + to_seconds(event_id % 400) AS ingested_at, event_id % 4 <> 0 AS processed_to_gold
+FROM events WHERE event_type = 'purchase'""",
+    "gold_order": """
+SELECT order_id, customer_id, total_amount, order_status, ingested_at + to_seconds(kafka_offset % 90) AS created_at,
+  concat('STREAM_', cast(kafka_offset % 20 AS varchar)) AS batch_id FROM landed_order WHERE processed_to_gold""",
+    "landed_item": """
+SELECT order_item_id, order_id, cast(ship_date AS timestamp) + to_seconds(l_orderkey % 300) AS ingested_at FROM fact_order_item""",
+    "landed_delivery": """
+SELECT delivery_id, order_id, delivery_date AS ingested_at FROM fact_delivery""",
 }
 
 

@@ -46,10 +46,14 @@ def read_delimited(
 
 
 def read_json(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: FileFormat, pattern: str | None = None
+    spark: SparkSession, path: str, schema: T.StructType, fmt: FileFormat, pattern: str | None = None, whole_file: bool = False
 ) -> DataFrame:
-    """A JSON array of objects per file (or one object per file); text null tokens become NULL."""
-    reader = spark.read.schema(schema).option("multiLine", True)
+    """JSON objects, or arrays of them, one per line; text null tokens become NULL.
+
+    ``whole_file`` reads one object or array spread over the lines of a file; such a
+    file cannot be split, so large inputs should come as lines.
+    """
+    reader = spark.read.schema(schema).option("multiLine", whole_file)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     texts = [f.name for f in schema if isinstance(f.dataType, T.StringType)]

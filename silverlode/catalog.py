@@ -109,6 +109,9 @@ ENTITY_COLUMNS = {
     """,
 }
 
+# Columns that Silver adds to an entity.
+DERIVED = {"location": ("state_code", "is_union_territory", "capital_city_flag", "city_tier")}
+
 # Accepted states, after upper-casing and replacing blanks by underscores.
 ORDER_STATES = [
     "OUT_FOR_DELIVERY", "COMPLETED", "CANCELLED", "PREPARING", "CONFIRMED", "DELIVERED", "PLACED", "READY", "PENDING",
@@ -145,6 +148,7 @@ def _sources() -> dict[str, Source]:
             out[name] = Source(
                 number, name, entity, ingestion, _columns(entity), _target(entity),
                 landing=entity if batch else f"{entity}_events", pattern=f"{entity}_*.csv" if batch else None,
+                derived=DERIVED.get(entity, ()),
             )
             number += 1
     return out

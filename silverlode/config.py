@@ -87,6 +87,7 @@ class Source:
     pattern: str | None = None
     format: FileFormat = field(default_factory=FileFormat)
     active: bool = True
+    derived: tuple[str, ...] = ()
 
     def __post_init__(self):
         _one_of("ingestion type", self.ingestion, INGESTION_TYPES)
@@ -105,6 +106,11 @@ class Source:
     def names(self) -> list[str]:
         return [c.name for c in self.columns]
 
+    @property
+    def silver_names(self) -> list[str]:
+        """Columns from Silver on: those of the source and those derived on the way there."""
+        return [*self.names, *self.derived]
+
 
 @dataclass(frozen=True)
 class Rule:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from silverlode.config import Catalog, Source
 from silverlode.operators import bronze, merge, quality, scd2
+from silverlode.operators.dims import enrich_location
 from silverlode.operators.history import transitions
 from silverlode.sources.files import read_source
 from silverlode.sources.tables import BUCKET, Layer
@@ -33,6 +34,8 @@ BATCH_SCHEMA = """batch_id string, pipeline_name string, last_batch_executed_at
 # The status column whose changes are logged, per entity.
 STATUS_COLUMNS = {"order": "order_status", "delivery": "delivery_status"}
 EVENT_TS = bronze.EVENT_TS
+# What adds an entity's derived columns.
+ENRICHERS = {"location": enrich_location}
 
 
 @dataclass
@@ -188,6 +191,7 @@ class Medallion:
             self._log_transitions(source, good, result, now)
             if streaming:
                 good = merge.latest_per_key(good, source.keys, [EVENT_TS, *source.names])
+            good = ENRICHERS.get(source.entity, lambda rows: rows)(good)
             self._write_silver(source, merge.stamp(good, result.batch_id, now), result)
         finally:
             validated.unpersist()
@@ -244,7 +248,7 @@ class Medallion:
         changed = layer.staged(gold, result.batch_id)
         if changed is None:
             batch = layer.staged(source.target.silver, result.batch_id).where(F.col("batch_id") == result.batch_id)
-            batch = batch.select(*source.names, BUCKET)
+            batch = batch.select(*source.silver_names, BUCKET)
             shape = scd2.new_versions(
                 batch.withColumn("row_hash", F.lit("")).withColumn("scd_action", F.lit("INSERT")),
                 batch_id=result.batch_id, now=now,
@@ -252,7 +256,7 @@ class Medallion:
             active = layer.read(gold, shape.schema).where(
                 (F.col("status") == "ACTIVE") & F.col(BUCKET).isin(layer.touched(batch, keys))
             ).drop("expired_by")
-            staged = scd2.detect_changes(active, batch, keys, source.names)
+            staged = scd2.detect_changes(active, batch, keys, source.silver_names)
             after = scd2.apply_changes(active, staged, keys, batch_id=result.batch_id, now=now)
             expired_by = F.when(F.col("status") == "INACTIVE", F.lit(result.batch_id)).otherwise("open")
             changed = layer.stage(after.withColumn("expired_by", expired_by), gold, result.batch_id)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 
@@ -50,6 +51,13 @@ class RunResult:
     seconds: dict[str, float] = field(default_factory=dict)
 
 
+def side_by_side(*tasks: Callable[[], object]) -> list:
+    """Run independent Spark jobs at the same time; a failure is raised after all have ended."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        futures = [pool.submit(task) for task in tasks]
+    return [f.result() for f in futures]
+
+
 class PhaseFailed(RuntimeError):
     def __init__(self, result: RunResult):
         super().__init__(f"{result.source}: {result.failed_phase} failed: {result.error}")
@@ -82,24 +90,29 @@ class Medallion:
 
     def next_run_id(self) -> int:
         """One global counter: the log has one row per run, so its maximum is cheap."""
-        return (self.runs().agg(F.max("ingest_run_id")).first()[0] or 0) + 1
+        return self._known_run("")[1]
+
+    def _known_run(self, batch_id: str) -> tuple[bool, int]:
+        """Whether the batch succeeded before, and its run id: an earlier one of the batch, or the next."""
+        mine = F.col("batch_id") == batch_id
+        log = self.runs().agg(
+            F.max("ingest_run_id").alias("last"),
+            F.max(F.when(mine, F.col("ingest_run_id"))).alias("mine"),
+            F.count_if(mine & (F.col("run_status") == "SUCCESS")).alias("done"),
+        ).first()
+        return log["done"] > 0, log["mine"] or (log["last"] or 0) + 1
 
     def finished(self, batch_id: str) -> bool:
-        done = (F.col("batch_id") == batch_id) & (F.col("run_status") == "SUCCESS")
-        return not self.runs().where(done).limit(1).isEmpty()
-
-    def _reuse_run_id(self, batch_id: str) -> int:
-        known = self.runs().where(F.col("batch_id") == batch_id).agg(F.max("ingest_run_id")).first()[0]
-        return known or self.next_run_id()
+        return self._known_run(batch_id)[0]
 
     def _log(self, result: RunResult, source: Source, now: datetime) -> None:
         counts = result.counts
         row = (
             result.ingest_run_id, result.batch_id, source.name, source.target.bronze, source.target.errors, result.status,
             counts.get("source_rows"), counts.get("valid_rows"), counts.get("invalid_rows"),
-            sum(result.seconds.values()), result.error, now,
+            float(sum(result.seconds.values())), result.error, now,
         )
-        self.layer.append(self.spark.createDataFrame([row], RUN_SCHEMA), RUN_LOG)
+        run = self.spark.createDataFrame([row], RUN_SCHEMA)
         log = self.spark.createDataFrame(
             [(result.batch_id, source.name, now, result.status, result.failed_phase, counts.get("source_rows"),
               counts.get("silver_inserted"), counts.get("silver_updated"), counts.get("gold_inserted"),
@@ -113,7 +126,8 @@ class Medallion:
                 F.struct("gold_inserted", "gold_updated").alias("silver_to_gold"),
             )
         )
-        self.layer.append(log.withColumn("batch_log", nested), BATCHES)
+        log = log.withColumn("batch_log", nested)
+        side_by_side(lambda: self.layer.append(log, BATCHES), lambda: self.layer.append(run, RUN_LOG))
 
     # ---- entry points ------------------------------------------------------------------
 
@@ -137,11 +151,11 @@ class Medallion:
         wins, and never replaces a newer stored one.
         """
         moment = _moment(now)
-        if self.finished(batch_id):
-            return RunResult(batch_id, source.name, -1, status="SKIPPED")
-        result = RunResult(batch_id, source.name, self._reuse_run_id(batch_id))
-        at = F.lit(moment)
-        at = at.cast("timestamp_ntz")
+        done, run_id = self._known_run(batch_id)
+        if done:
+            return RunResult(batch_id, source.name, run_id, status="SKIPPED")
+        result = RunResult(batch_id, source.name, run_id)
+        at = F.lit(moment).cast("timestamp_ntz")
         phases = (
             ("STAGE_TO_BRONZE", lambda: self._to_bronze(source, read(), result, at, strict)),
             ("BRONZE_TO_SILVER", lambda: self._to_silver(source, result, at)),
@@ -152,11 +166,11 @@ class Medallion:
             try:
                 phase()
             except Exception as error:
+                result.seconds[name] = time.monotonic() - started
                 result.status, result.failed_phase, result.error = "FAILED", name, str(error)[:4000]
                 self._log(result, source, moment)
                 raise PhaseFailed(result) from error
-            finally:
-                result.seconds[name] = time.monotonic() - started
+            result.seconds[name] = time.monotonic() - started
         self._log(result, source, moment)
         return result
 
@@ -180,61 +194,66 @@ class Medallion:
         references = _References(self.layer)
         validated = quality.validate(staged, rules, key, references).persist()
         try:
-            stats = quality.statistics(validated, rules, result.ingest_run_id)
-            figures = stats.first()
-            result.counts["valid_rows"] = figures["total_valid_rows"]
-            result.counts["invalid_rows"] = figures["total_invalid_rows"]
-            self.layer.replace_partitions(stats.withColumn("entity", F.lit(source.entity)), STATISTICS, ["ingest_run_id"])
+            figures = quality.statistics(validated, rules, result.ingest_run_id)
+            row = figures.first()
+            result.counts["valid_rows"], result.counts["invalid_rows"] = row["total_valid_rows"], row["total_invalid_rows"]
+            stats = self.spark.createDataFrame([row], figures.schema).withColumn("entity", F.lit(source.entity))
             errors = quality.error_rows(validated, key, result.ingest_run_id)
-            self.layer.replace_partitions(errors, target.errors, ["ingest_run_id"])
             good = quality.valid_rows(validated).select(*source.names, EVENT_TS)
-            self._log_transitions(source, good, result, now)
-            if streaming:
-                good = merge.latest_per_key(good, source.keys, [EVENT_TS, *source.names])
-            good = ENRICHERS.get(source.entity, lambda rows: rows)(good)
-            self._write_silver(source, merge.stamp(good, result.batch_id, now), result)
+            # All of these read Silver as it was; it is published after they have ended.
+            staged = side_by_side(
+                lambda: self._stage_silver(source, good, result, now),
+                lambda: self._stage_transitions(source, good, result, now),
+                lambda: self.layer.replace_partitions(errors, target.errors, ["ingest_run_id"]),
+                lambda: self.layer.replace_partitions(stats, STATISTICS, ["ingest_run_id"]),
+            )
+            self._publish_silver(source, staged[0], staged[1])
         finally:
             validated.unpersist()
 
-    def _write_silver(self, source: Source, batch: DataFrame, result: RunResult) -> None:
+    def _stage_silver(self, source: Source, good: DataFrame, result: RunResult, now: Column) -> DataFrame:
         target, keys, layer = source.target, source.merge_on, self.layer
-        newest_by = EVENT_TS if source.ingestion == "STREAM" else None
-        batch = batch.withColumn(BUCKET, layer.bucket_of(keys))
-        staged = layer.staged(target.silver, result.batch_id)
-        if staged is None:
-            old = layer.read(target.silver, batch.schema).where(F.col(BUCKET).isin(layer.touched(batch, keys)))
-            if target.load_type == "APPEND":
-                after = old.unionByName(merge.append_absent(old, batch, keys))
-            else:
-                after = merge.upsert(old, batch, keys, newest_by=newest_by)
-            staged = layer.stage(after, target.silver, result.batch_id)
-        layer.replace_partitions(staged, target.silver, [BUCKET])
-        mine = staged.where(F.col("batch_id") == result.batch_id)
-        figures = mine.agg(
-            F.count_if(F.col("created_at") == F.col("updated_at")).alias("i"),
-            F.count_if(F.col("created_at") != F.col("updated_at")).alias("u"),
-        ).first()
-        result.counts["silver_inserted"], result.counts["silver_updated"] = figures["i"], figures["u"]
-
-    def _log_transitions(self, source: Source, rows: DataFrame, result: RunResult, now: Column) -> None:
-        """Write every status change of the batch before only the latest row per key goes on."""
+        newest_by = None
+        if source.ingestion == "STREAM":
+            newest_by = EVENT_TS
+            good = merge.latest_per_key(good, source.keys, [EVENT_TS, *source.names])
+        good = ENRICHERS.get(source.entity, lambda rows: rows)(good)
+        batch = merge.stamp(good, result.batch_id, now).withColumn(BUCKET, layer.bucket_of(keys))
+        old = layer.read(target.silver, batch.schema).where(F.col(BUCKET).isin(layer.touched(batch, keys)))
+        if target.load_type == "APPEND":
+            after = old.unionByName(merge.append_absent(old, batch, keys))
+        else:
+            after = merge.upsert(old, batch, keys, newest_by=newest_by)
+        mine, first = F.col("batch_id") == result.batch_id, F.col("created_at") == F.col("updated_at")
+        figures = {"silver_inserted": F.count_if(mine & first), "silver_updated": F.count_if(mine & ~first)}
+        staged, counts = layer.stage(after, target.silver, result.batch_id, figures)
+        result.counts.update(counts)
+        return staged
+
+    def _stage_transitions(self, source: Source, good: DataFrame, result: RunResult, now: Column) -> DataFrame | None:
+        """Every status change of the batch, also those that only the latest row per key survives."""
         if source.entity not in STATUS_COLUMNS:
-            return
+            return None
         status, key, silver = STATUS_COLUMNS[source.entity], source.keys[0], source.target.silver
-        table = f"{source.target.gold}_status_history"
-        changes = self.layer.staged(table, result.batch_id)
-        if changes is None:
-            timed = rows.withColumn(EVENT_TS, F.coalesce(F.col(EVENT_TS), now))
-            last = None
-            if self.layer.exists(silver):
-                # Events older than the stored state never became current, so they are no transition.
-                last = self.layer.read(silver).select(key, status, F.col(EVENT_TS).alias("_stored_ts"))
-                timed = timed.join(last.select(key, "_stored_ts"), key, "left").where(
-                    F.col("_stored_ts").isNull() | (F.col(EVENT_TS) >= F.col("_stored_ts"))
-                ).drop("_stored_ts")
-            changes = transitions(timed, key, status, EVENT_TS, [status], last)
-            changes = self.layer.stage(changes.withColumn("batch_id", F.lit(result.batch_id)), table, result.batch_id)
-        self.layer.replace_partitions(changes, table, ["batch_id"])
+        timed = good.withColumn(EVENT_TS, F.coalesce(F.col(EVENT_TS), now))
+        last = None
+        if self.layer.exists(silver):
+            # Events older than the stored state never became current, so they are no transition.
+            last = self.layer.read(silver).select(key, status, F.col(EVENT_TS).alias("_stored_ts"))
+            timed = timed.join(last.select(key, "_stored_ts"), key, "left").where(
+                F.col("_stored_ts").isNull() | (F.col(EVENT_TS) >= F.col("_stored_ts"))
+            ).drop("_stored_ts")
+        changes = transitions(timed, key, status, EVENT_TS, [status], last).withColumn("batch_id", F.lit(result.batch_id))
+        return self.layer.stage(changes, self._history(source), result.batch_id)[0]
+
+    def _history(self, source: Source) -> str:
+        return f"{source.target.gold}_status_history"
+
+    def _publish_silver(self, source: Source, silver: DataFrame, changes: DataFrame | None) -> None:
+        publish = [lambda: self.layer.replace_partitions(silver, source.target.silver, [BUCKET])]
+        if changes is not None:
+            publish.append(lambda: self.layer.replace_partitions(changes, self._history(source), ["batch_id"]))
+        side_by_side(*publish)
 
     def _to_gold(self, source: Source, result: RunResult, now: Column) -> None:
         """Version the rows this batch put into Silver.
@@ -245,28 +264,23 @@ class Medallion:
         layer, gold, keys = self.layer, source.target.gold, source.keys
         if result.counts.get("source_rows") == 0:
             return
-        changed = layer.staged(gold, result.batch_id)
-        if changed is None:
-            batch = layer.staged(source.target.silver, result.batch_id).where(F.col("batch_id") == result.batch_id)
-            batch = batch.select(*source.silver_names, BUCKET)
-            shape = scd2.new_versions(
-                batch.withColumn("row_hash", F.lit("")).withColumn("scd_action", F.lit("INSERT")),
-                batch_id=result.batch_id, now=now,
-            ).withColumn("expired_by", F.lit(""))
-            active = layer.read(gold, shape.schema).where(
-                (F.col("status") == "ACTIVE") & F.col(BUCKET).isin(layer.touched(batch, keys))
-            ).drop("expired_by")
-            staged = scd2.detect_changes(active, batch, keys, source.silver_names)
-            after = scd2.apply_changes(active, staged, keys, batch_id=result.batch_id, now=now)
-            expired_by = F.when(F.col("status") == "INACTIVE", F.lit(result.batch_id)).otherwise("open")
-            changed = layer.stage(after.withColumn("expired_by", expired_by), gold, result.batch_id)
-        layer.replace_partitions(changed, gold, ["status", "expired_by", BUCKET])
-        figures = changed.agg(
-            F.count_if((F.col("batch_id") == result.batch_id) & (F.col("status") == "ACTIVE")).alias("new"),
-            F.count_if(F.col("status") == "INACTIVE").alias("expired"),
-        ).first()
-        result.counts["gold_inserted"] = figures["new"] - figures["expired"]
-        result.counts["gold_updated"] = figures["expired"]
+        batch = layer.staged(source.target.silver, result.batch_id).where(F.col("batch_id") == result.batch_id)
+        batch = batch.select(*source.silver_names).withColumn(BUCKET, layer.bucket_of(keys))
+        shape = scd2.new_versions(
+            batch.withColumn("row_hash", F.lit("")).withColumn("scd_action", F.lit("INSERT")), batch_id=result.batch_id, now=now
+        ).withColumn("expired_by", F.lit(""))
+        active = layer.read(gold, shape.schema).where(
+            (F.col("status") == "ACTIVE") & F.col(BUCKET).isin(layer.touched(batch, keys))
+        ).drop("expired_by")
+        changes = scd2.detect_changes(active, batch, keys, source.silver_names)
+        after = scd2.apply_changes(active, changes, keys, batch_id=result.batch_id, now=now)
+        expired = F.col("status") == "INACTIVE"
+        after = after.withColumn("expired_by", F.when(expired, F.lit(result.batch_id)).otherwise("open"))
+        figures = {"new": F.count_if((F.col("batch_id") == result.batch_id) & ~expired), "expired": F.count_if(expired)}
+        staged, counts = layer.stage(after, gold, result.batch_id, figures)
+        layer.replace_partitions(staged, gold, ["status", "expired_by", BUCKET])
+        result.counts["gold_inserted"] = counts["new"] - counts["expired"]
+        result.counts["gold_updated"] = counts["expired"]
 
     # ---- recovery ----------------------------------------------------------------------
 

@@ -10,9 +10,9 @@ publishes the same rows again.  On a catalog with row-level operations use
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,11 +63,18 @@ class Layer:
         path = f"{self.root}/_staging/{table}/{batch_id}"
         return self.spark.read.parquet(path) if self._exists(f"{path}/_SUCCESS") else None
 
-    def stage(self, df: DataFrame, table: str, batch_id: str) -> DataFrame:
-        """Write a batch's result whole, unless an earlier attempt finished doing so."""
+    def stage(
+        self, df: DataFrame, table: str, batch_id: str, figures: Mapping[str, Column] | None = None
+    ) -> tuple[DataFrame, dict]:
+        """Write a batch's result whole, unless an earlier attempt finished doing so.
+
+        ``figures`` are aggregates of the result; they are observed by the write itself.
+        """
         done = self.staged(table, batch_id)
+        measures = [column.alias(name) for name, column in (figures or {}).items()]
         if done is not None:
-            return done
+            return done, done.agg(*measures).first().asDict() if measures else {}
         path = f"{self.root}/_staging/{table}/{batch_id}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        seen = Observation()
+        (df.observe(seen, *measures) if measures else df).write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), seen.get if measures else {}

@@ -20,32 +20,19 @@ ERROR_KEYS = ["error_id", "validate_column", "validation_type", "ingest_run_id"]
 _ERROR, _DUP, _OPEN = "_dq", "_dq_rn", "_dq_open"
 
 
-def _report(rule: Rule, with_value: bool) -> Column:
-    message = F.lit(rule.message)
-    if with_value:
-        shown = F.coalesce(F.col(rule.column).cast("string"), F.lit("NULL"))
-        message = F.concat(message, F.lit(" - Value: "), shown)
-    return F.struct(
-        F.lit(rule.name).alias("rule"),
-        F.lit(rule.kind).alias("validation_type"),
-        F.lit(rule.column).alias("validate_column"),
-        message.alias("validation_error_msg"),
-    )
-
-
 def _found(position: int) -> str:
     return f"_dq_found_{position}"
 
 
-def _row_error(rule: Rule, position: int) -> Column:
-    """The rule's report for rows that break it, NULL for others and for unknown outcomes."""
+def _breaks(rule: Rule, position: int) -> Column:
+    """TRUE for rows that break a row-level rule; unknown outcomes are no error."""
     present = F.col(rule.column).isNotNull()
     if rule.kind == "MANDATORY_CHECK":
-        return F.when(~F.expr(rule.expression), _report(rule, False))
+        return ~F.expr(rule.expression)
     if rule.kind == "VALUE_CHECK":
-        return F.when(present & ~F.expr(rule.expression), _report(rule, True))
+        return present & ~F.expr(rule.expression)
     if rule.kind == "LOOKUP_CHECK":
-        return F.when(present & F.col(_found(position)).isNull(), _report(rule, True))
+        return present & F.col(_found(position)).isNull()
     raise ConfigError(f"unknown validation type {rule.kind!r}")
 
 
@@ -59,43 +46,59 @@ def validate(
     """Add ``is_valid`` and the first error (``dq_rule``, ``dq_type``, ``dq_column``, ``dq_message``).
 
     Duplicates keep exactly one row, the first by key, then ``prefer``, then the
-    remaining columns; NULL values are never duplicates.
+    remaining columns; NULL values are never duplicates.  Until the end a row only
+    carries the number of its first broken rule, not the texts of its report.
     """
     columns = [c for c in staged.columns if c != "is_valid"]
     rules = ordered_rules(rules)
     df = staged.select(*columns)
-    row_rules = [r for r in rules if r.kind != "DUPLICATE_ALLOW_ONE_CHECK"]
-    for position, rule in enumerate(row_rules):
+    first = F.lit(None).cast("int")
+    for position, rule in reversed(list(enumerate(rules))):
+        if rule.kind == "DUPLICATE_ALLOW_ONE_CHECK":
+            continue
         if rule.kind == "LOOKUP_CHECK":
-            table, column = rule.lookup
-            if references is None or table not in references:
-                raise ConfigError(f"rule {rule.name} needs reference table {table!r}")
-            known = references[table].select(F.col(column).cast("string").alias("_ref")).distinct()
-            known = known.withColumn(_found(position), F.lit(True))
-            df = df.join(known, F.col(rule.column).cast("string") == F.col("_ref"), "left").drop("_ref")
-    errors = [_row_error(rule, position) for position, rule in enumerate(row_rules)]
-    first = F.coalesce(*errors) if errors else _nothing()
+            df = _look_up(df, rule, position, references or {})
+        first = F.when(_breaks(rule, position), position).otherwise(first)
     df = df.select(*columns, first.alias(_ERROR))
-    for rule in rules:
+    for position, rule in enumerate(rules):
         if rule.kind == "DUPLICATE_ALLOW_ONE_CHECK":
-            df = _number_duplicates(df, rule, key, prefer, columns)
-    return df.select(
-        *columns,
-        F.col(_ERROR).isNull().alias("is_valid"),
-        F.col(f"{_ERROR}.rule").alias("dq_rule"),
-        F.col(f"{_ERROR}.validation_type").alias("dq_type"),
-        F.col(f"{_ERROR}.validate_column").alias("dq_column"),
-        F.col(f"{_ERROR}.validation_error_msg").alias("dq_message"),
-    )
-
-
-def _nothing() -> Column:
-    return F.lit(None).cast(
-        "struct<rule:string,validation_type:string,validate_column:string,validation_error_msg:string>"
-    )
+            df = _number_duplicates(df, rule, position, key, prefer, columns)
+    return df.select(*columns, F.col(_ERROR).isNull().alias("is_valid"), *_report(rules))
+
+
+def _look_up(df: DataFrame, rule: Rule, position: int, references: Mapping[str, DataFrame]) -> DataFrame:
+    table, column = rule.lookup
+    if table not in references:
+        raise ConfigError(f"rule {rule.name} needs reference table {table!r}")
+    known = references[table].select(F.col(column).cast("string").alias("_ref")).distinct()
+    known = known.withColumn(_found(position), F.lit(True))
+    return df.join(known, F.col(rule.column).cast("string") == F.col("_ref"), "left").drop("_ref")
+
+
+def _report(rules: Sequence[Rule]) -> list[Column]:
+    """The texts that belong to the number of the first broken rule."""
+    number = F.col(_ERROR)
+
+    def text(values: list[str]) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in values]).cast("array<string>"), number)
+
+    shown = F.lit("")
+    for column in dict.fromkeys(r.column for r in rules):
+        mine = [p for p, r in enumerate(rules) if r.column == column and r.kind != "MANDATORY_CHECK"]
+        if mine:
+            value = F.concat(F.lit(" - Value: "), F.coalesce(F.col(column).cast("string"), F.lit("NULL")))
+            shown = F.when(number.isin(*mine), value).otherwise(shown)
+    return [
+        text([r.name for r in rules]).alias("dq_rule"),
+        text([r.kind for r in rules]).alias("dq_type"),
+        text([r.column for r in rules]).alias("dq_column"),
+        F.concat(text([r.message for r in rules]), shown).alias("dq_message"),
+    ]
 
 
-def _number_duplicates(df: DataFrame, rule: Rule, key: str, prefer: Sequence[str], columns: list[str]) -> DataFrame:
+def _number_duplicates(
+    df: DataFrame, rule: Rule, position: int, key: str, prefer: Sequence[str], columns: list[str]
+) -> DataFrame:
     """Number the rows that are still valid within each value; all but the first are errors.
 
     Validity is part of the partition key, so that no second pass is needed.
@@ -105,7 +108,7 @@ def _number_duplicates(df: DataFrame, rule: Rule, key: str, prefer: Sequence[str
     marked = df.withColumn(_OPEN, F.col(_ERROR).isNull() & F.col(rule.column).isNotNull())
     numbered = with_features(marked, [rule.column, _OPEN], order, [row_number(_DUP)])
     extra = F.col(_OPEN) & (F.col(_DUP) > 1)
-    return numbered.withColumn(_ERROR, F.coalesce(F.when(extra, _report(rule, True)), F.col(_ERROR))).drop(_OPEN, _DUP)
+    return numbered.withColumn(_ERROR, F.when(extra, position).otherwise(F.col(_ERROR))).drop(_OPEN, _DUP)
 
 
 def valid_rows(validated: DataFrame) -> DataFrame:

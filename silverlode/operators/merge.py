@@ -15,6 +15,15 @@ def stamp(df: DataFrame, batch_id: str, now) -> DataFrame:
     return df.withColumn("batch_id", F.lit(batch_id)).withColumn("created_at", now).withColumn("updated_at", now)
 
 
+def stored_for(target: DataFrame, batch: DataFrame, keys: Sequence[str], columns: Sequence[str] = ()) -> DataFrame:
+    """Keys (and ``columns``) of the target rows a batch speaks about.
+
+    The semi join lets a small batch filter the target where it is read; what is
+    left is no larger than the batch, so the joins that follow do not move the target.
+    """
+    return target.select(*keys, *columns).join(batch.select(*keys), list(keys), "left_semi")
+
+
 def upsert(
     target: DataFrame, batch: DataFrame, keys: Sequence[str], *, newest_by: str | None = None
 ) -> DataFrame:
@@ -22,8 +31,8 @@ def upsert(
 
     ``created_at`` of a matched row stays.  With ``newest_by`` a batch row older
     than the stored one is ignored (late events).  Both sides hold one row per key.
-    The target side is only read once and joins from the left, so a small batch is
-    broadcast and the target is not shuffled.
+    The target joins from the left, so that Catalyst broadcasts a small batch and
+    does not shuffle the target.
     """
     keys = list(keys)
     columns = target.columns
@@ -39,13 +48,13 @@ def upsert(
             for c in columns
         ]
     )
-    added = batch.select(*columns).join(target.select(*keys), keys, "left_anti")
+    added = batch.select(*columns).join(stored_for(target, batch, keys), keys, "left_anti")
     return updated.unionByName(added)
 
 
 def append_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The batch rows whose keys the target does not have yet."""
-    return batch.join(target.select(*keys), list(keys), "left_anti")
+    return batch.join(stored_for(target, batch, keys), list(keys), "left_anti")
 
 
 def merge_into_catalog(batch: DataFrame, table: str, keys: Sequence[str]) -> None:

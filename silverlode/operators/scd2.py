@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions.scalar import boundary_diff, row_hash
+from silverlode.operators.merge import stored_for
 
 # Fixed value: end of an open version.
 OPEN_END = "9999-12-31 23:59:59"
@@ -19,7 +20,7 @@ def detect_changes(active: DataFrame, batch: DataFrame, keys: Sequence[str], tra
     Compares with the active versions only, and with the hash stored there.
     """
     hashed = batch.withColumn("row_hash", row_hash(list(tracked)))
-    stored = active.select(*keys, F.col("row_hash").alias("_stored"))
+    stored = stored_for(active, batch, keys, ["row_hash"]).withColumnRenamed("row_hash", "_stored")
     action = (
         F.when(F.col("_stored").isNull(), "INSERT")
         .when(F.col("_stored") != F.col("row_hash"), "UPDATE")

@@ -32,29 +32,44 @@ def between_days(mart: DataFrame, start, end, column: str = "order_date_key") ->
     return mart.where(F.col(column).between(as_date(start), as_date(end)))
 
 
-def _orders() -> Column:
-    return F.count_distinct("order_id")
+def _once(rows: DataFrame, *labels: Column | str) -> DataFrame:
+    """Rows reduced to their order: sums of amounts, and labels that are the same for the whole order.
+
+    The rows come from a join on the order, so this needs no shuffle of its own,
+    and it turns distinct orders into a plain count.
+    """
+    return rows.groupBy("order_id", "customer_id", *labels).agg(
+        F.sum("total_amount").alias("_sum"), F.count("total_amount").alias("_n")
+    )
 
 
 def _revenue() -> Column:
-    return F.sum("total_amount")
+    return F.sum("_sum")
+
+
+def _average() -> Column:
+    return F.sum("_sum").cast("double") / F.sum("_n")
+
+
+def _orders() -> Column:
+    return F.count("order_id")
 
 
 def executive_kpis(summary: DataFrame) -> DataFrame:
-    return summary.agg(
-        _orders().alias("total_orders"), _revenue().alias("total_revenue"), mean("total_amount").alias("avg_order_value"),
+    return _once(summary).agg(
+        _orders().alias("total_orders"), _revenue().alias("total_revenue"), _average().alias("avg_order_value"),
         F.count_distinct("customer_id").alias("unique_customers"),
     )
 
 
 def daily_orders(summary: DataFrame) -> DataFrame:
-    days = summary.groupBy(F.to_date("order_date").alias("order_day"))
+    days = _once(summary, F.to_date("order_date").alias("order_day")).groupBy("order_day")
     return days.agg(_orders().alias("orders"), _revenue().alias("revenue")).orderBy("order_day")
 
 
 def orders_by(mart: DataFrame, column: str, order: list[str] | None = None) -> DataFrame:
     """Distinct orders per label, in business order if one is given."""
-    counted = mart.groupBy(column).agg(_orders().alias("orders"))
+    counted = mart.groupBy(column).agg(F.count_distinct("order_id").alias("orders"))
     return counted.orderBy(rank_of(F.col(column), order) if order else F.col(column))
 
 
@@ -156,42 +171,48 @@ def top_agents(agents: DataFrame, k: int = 15) -> DataFrame:
 
 
 def order_kpis(summary: DataFrame) -> DataFrame:
-    return summary.agg(
-        _orders().alias("total_orders"), F.sum("is_completed").alias("completed_orders"),
-        F.sum("is_cancelled").alias("cancelled_orders"), mean("order_processing_time_mins").alias("avg_process_time"),
+    minutes = "order_processing_time_mins"
+    return summary.groupBy("order_id").agg(
+        F.sum("is_completed").alias("_completed"), F.sum("is_cancelled").alias("_cancelled"),
+        F.sum(minutes).alias("_sum"), F.count(minutes).alias("_n"),
+    ).agg(
+        _orders().alias("total_orders"), F.sum("_completed").alias("completed_orders"),
+        F.sum("_cancelled").alias("cancelled_orders"), _average().alias("avg_process_time"),
     )
 
 
 def value_segments(summary: DataFrame) -> DataFrame:
-    grouped = summary.groupBy("order_value_segment").agg(_orders().alias("orders"), _revenue().alias("revenue"))
-    return grouped.orderBy(rank_of(F.col("order_value_segment"), VALUES))
+    segment = "order_value_segment"
+    grouped = _once(summary, segment).groupBy(segment).agg(_orders().alias("orders"), _revenue().alias("revenue"))
+    return grouped.orderBy(rank_of(F.col(segment), VALUES))
 
 
 def day_types(summary: DataFrame) -> DataFrame:
-    return summary.groupBy("day_type").agg(_orders().alias("orders"), mean("total_amount").alias("avg_value"))
+    return _once(summary, "day_type").groupBy("day_type").agg(_orders().alias("orders"), _average().alias("avg_value"))
 
 
 def revenue_kpis(summary: DataFrame) -> DataFrame:
-    return summary.agg(
-        _revenue().alias("total_revenue"), mean("total_amount").alias("avg_order_value"),
+    return _once(summary).agg(
+        _revenue().alias("total_revenue"), _average().alias("avg_order_value"),
         div0(_revenue(), F.count_distinct("customer_id")).alias("revenue_per_customer"), _orders().alias("total_orders"),
     )
 
 
 def revenue_trend(summary: DataFrame) -> DataFrame:
-    return summary.groupBy(F.to_date("order_date").alias("order_day")).agg(
-        _revenue().alias("daily_revenue"), _orders().alias("daily_orders"), mean("total_amount").alias("avg_order_value")
+    days = _once(summary, F.to_date("order_date").alias("order_day")).groupBy("order_day")
+    return days.agg(
+        _revenue().alias("daily_revenue"), _orders().alias("daily_orders"), _average().alias("avg_order_value")
     ).orderBy("order_day")
 
 
 def revenue_by(mart: DataFrame, column: str) -> DataFrame:
-    grouped = mart.groupBy(column).agg(_revenue().alias("revenue"), _orders().alias("orders"))
+    grouped = _once(mart, column).groupBy(column).agg(_revenue().alias("revenue"), _orders().alias("orders"))
     return grouped.orderBy(F.col("revenue").desc())
 
 
 def top_cities(summary: DataFrame, k: int = 10) -> DataFrame:
-    grouped = summary.groupBy("city").agg(
-        _revenue().alias("total_revenue"), _orders().alias("total_orders"), mean("total_amount").alias("avg_order_value"),
+    grouped = _once(summary, "city").groupBy("city").agg(
+        _revenue().alias("total_revenue"), _orders().alias("total_orders"), _average().alias("avg_order_value"),
         F.count_distinct("customer_id").alias("unique_customers"),
     )
     return grouped.orderBy(F.col("total_revenue").desc(), "city").limit(k)
@@ -203,7 +224,7 @@ def top_cities(summary: DataFrame, k: int = 10) -> DataFrame:
 def daily_metrics(fact_order: DataFrame, status: str) -> DataFrame:
     rows = fact_order.where(F.col("order_status") == status)
     return rows.groupBy(F.to_date("order_date").alias("order_day")).agg(
-        F.count("order_id").alias("total_orders"), _revenue().alias("revenue"),
+        F.count("order_id").alias("total_orders"), F.sum("total_amount").alias("revenue"),
         F.count_distinct("customer_id").alias("unique_customers"),
     ).orderBy(F.col("order_day").desc())
 

@@ -75,6 +75,9 @@ class Layer:
         if done is not None:
             return done, done.agg(*measures).first().asDict() if measures else {}
         path = f"{self.root}/_staging/{table}/{batch_id}"
+        if BUCKET in df.columns:
+            # One writer per bucket: publishing then makes one file per bucket, not one per task and bucket.
+            df = df.repartition(self.buckets, BUCKET)
         seen = Observation()
         (df.observe(seen, *measures) if measures else df).write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path), seen.get if measures else {}

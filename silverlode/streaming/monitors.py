@@ -179,11 +179,19 @@ def layer_counts(layers: Mapping[str, DataFrame], key: str) -> DataFrame:
 
 
 def order_completeness(orders: DataFrame, items: DataFrame, deliveries: DataFrame, k: int | None = 10) -> DataFrame:
-    """Orders with their item count and delivery; items are counted before the join."""
+    """Orders with their item count and delivery, of all orders or the ``k`` rows with the highest ids.
+
+    Every order gives at least one row, so those rows belong to the ``k`` highest
+    orders; only their items and deliveries are read on (a broadcast of ``k`` ids).
+    """
+    orders = orders.select("order_id", "customer_id", "total_amount", "order_status")
+    if k is not None:
+        orders = orders.orderBy(F.col("order_id").desc()).limit(k)
+        wanted = F.broadcast(orders.select("order_id"))
+        items, deliveries = (part.join(wanted, "order_id", "left_semi") for part in (items, deliveries))
     counted = items.groupBy("order_id").agg(F.count_distinct("order_item_id").alias("item_count"))
     wide = (
-        orders.select("order_id", "customer_id", "total_amount", "order_status")
-        .join(counted, "order_id", "left")
+        orders.join(counted, "order_id", "left")
         .join(deliveries.select("order_id", "delivery_id", "delivery_status", "delivery_agent_id"), "order_id", "left")
         .fillna(0, ["item_count"])
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
@@ -16,10 +16,11 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.config import Catalog, Source
+from silverlode.config import Catalog, Retry, Source
 from silverlode.operators import bronze, merge, quality, scd2
 from silverlode.operators.dims import enrich_location
 from silverlode.operators.history import transitions
+from silverlode.session import materialize
 from silverlode.sources.files import read_source
 from silverlode.sources.tables import BUCKET, Layer
 
@@ -321,6 +322,33 @@ class Medallion:
             self.reconcile(source_name, result.batch_id, result.ingest_run_id, options.get("now"))
         return result
 
+    def retry_letters(
+        self, source_name: str, letters: DataFrame, retries: Sequence[Retry], *, now: datetime | None = None,
+        limit: int | None = None, batch_id: str | None = None,
+    ) -> tuple[RunResult, DataFrame]:
+        """Run the payloads of due letters again, all at once; returns the run and the settled queue.
+
+        A letter succeeds when its key reached Silver in this run.
+        """
+        from silverlode.plans.operations import retry_candidates, settle_retries
+
+        source, moment = self.catalog.source(source_name), _moment(now)
+        mine = letters.where(F.col("pipeline_name") == source_name)
+        due = materialize(retry_candidates(mine, retries, moment, limit), "retry")
+        payload = [F.get_json_object("record_data", f"$.{n}").alias(n) for n in source.names]
+        result = self.run_rows(
+            source, lambda: due.select(*payload), batch_id=batch_id or new_batch_id(source.ingestion), now=moment
+        )
+        key = source.keys[0]
+        silver = self.layer.read(source.target.silver) if self.layer.exists(source.target.silver) else None
+        keyed = due.select("dlq_id", F.get_json_object("record_data", f"$.{key}").alias("_key"))
+        if silver is None:
+            outcome = keyed.select("dlq_id", F.lit(False).alias("succeeded"))
+        else:
+            arrived = silver.where(F.col("batch_id") == result.batch_id).select(F.col(key).cast("string").alias("_key"), F.lit(True).alias("succeeded"))
+            outcome = keyed.join(arrived, "_key", "left").drop("_key")
+        return result, settle_retries(letters, due, outcome, moment)
+
     def summary(self, result: RunResult) -> Mapping:
         return asdict(result)
 

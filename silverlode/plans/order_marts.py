@@ -227,7 +227,7 @@ def order_payment(t: Tables) -> DataFrame:
         "order_id", "order_date", "customer_id", "restaurant_id", "total_amount", "payment_method", "order_status"
     )
     order = ["order_date", "order_id"]
-    # Both specifications share the exchange on customer_id's refinement.
+    # Rows of a customer also hold its payment methods, so both steps use one exchange.
     used = with_features(orders, ["customer_id"], order, [running("payment_methods_used_to_date", "count", "payment_method")])
     used = with_features(
         used,

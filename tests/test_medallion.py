@@ -213,3 +213,29 @@ def test_only_touched_buckets_are_rewritten(engine, tmp_path):
     engine.run_files("ORDER_BATCH", "", write(tmp_path, "order_1.csv", FIRST), now=DAY[0], batch_id="B1")
     batch = engine.layer.read("order_slv").where(F.col("order_id") == "O1")
     assert len(engine.layer.touched(batch, ["order_id"])) == 1
+
+
+def test_dead_letters_are_run_again_as_one_batch(engine):
+    from silverlode.config import Retry
+
+    def payload(order, restaurant):
+        return (
+            f'{{"order_id": "{order}", "customer_id": "C1", "restaurant_id": "{restaurant}", "order_date": "2024-01-01 10:00:00", '
+            f'"total_amount": "10.00", "order_status": "PLACED", "payment_method": "UPI"}}'
+        )
+
+    letters = engine.spark.createDataFrame(
+        [
+            (1, "ORDER_BATCH", "TECHNICAL", payload("O1", 3), "PENDING", 0, None, DAY[0]),
+            (2, "ORDER_BATCH", "TECHNICAL", payload("O2", "none"), "PENDING", 0, None, DAY[0]),
+            (3, "ORDER_BATCH", "TECHNICAL", "no json", "PENDING", 1, DAY[0], DAY[0]),
+            (4, "DELIVERY_BATCH", "TECHNICAL", "{}", "PENDING", 0, None, DAY[0]),
+        ],
+        """dlq_id int, pipeline_name string, error_type string, record_data string, processing_status string, retry_count int,
+           last_retry_at timestamp_ntz, created_at timestamp_ntz""",
+    )
+    result, queue = engine.retry_letters("ORDER_BATCH", letters, [Retry("ALL", "TECHNICAL", 2, 300)], now=DAY[1], batch_id="R1")
+    assert (result.counts["source_rows"], result.counts["valid_rows"]) == (3, 1)
+    found = {r.dlq_id: (r.processing_status, r.retry_count) for r in queue.collect()}
+    assert found == {1: ("RESOLVED", 1), 2: ("PENDING", 1), 3: ("ABANDONED", 2), 4: ("PENDING", 0)}
+    assert [r.order_id for r in engine.layer.read("fact_order").collect()] == ["O1"]

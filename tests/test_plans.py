@@ -49,3 +49,15 @@ def test_one_shuffle_serves_a_customers_sequence(spark):
     plan = plan_of(order_marts.customer_journey(t, "2024-01-31"))
     assert plan.count("hashpartitioning(customer_id") <= 1
     assert len(re.findall(r"Window \[", plan)) == 1
+
+
+def test_marts_as_sql_views(spark):
+    from silverlode.plans.views import MARTS, register_marts
+
+    t = Entities(spark, FOLDER)
+    assert len(MARTS) == 20
+    register_marts(t, "2001-08-01", ["mart_order_summary", "mart_restaurant_performance"])
+    top = spark.sql("SELECT restaurant_tier, count(*) AS n FROM mart_restaurant_performance GROUP BY restaurant_tier")
+    assert sum(r.n for r in top.collect()) == t["supplier"].count()
+    orders = spark.sql("SELECT count(DISTINCT order_id) AS n FROM mart_order_summary").first().n
+    assert orders == t["orders"].count()

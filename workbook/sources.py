@@ -66,8 +66,7 @@ def _(t):
     root = scratch_path(t.spark, "mixed")
     order_texts(t).write.option("header", True).csv(f"{root}/a")
     t["events"].write.json(f"{root}/b")
-    names = [r.path for r in files.discover(t.spark, root, "*.csv").select("path").collect()]
-    rows = files.with_file_name(files.read_delimited(t.spark, names, ORDER.names, CSV_COMMA))
+    rows = files.with_file_name(files.read_delimited(t.spark, root, ORDER.names, CSV_COMMA, "*.csv"))
     lines = t.spark.read.option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).text(root)
     return rows.where(F.col("source_file").endswith(".csv")).agg(F.lit("csv").alias("kind"), F.count(F.lit(1)).alias("row_count")).unionByName(
         lines.agg(F.lit("json").alias("kind"), F.count(F.lit(1)).alias("row_count"))

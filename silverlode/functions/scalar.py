@@ -72,7 +72,9 @@ def row_hash(columns: list[str]) -> Column:
 
     def text(name: str) -> Column:
         value = F.coalesce(F.col(name).cast("string"), F.lit(""))
-        return F.regexp_replace(value, r"([\\|])", r"\\$1")
+        for mark in ("\\", "|"):
+            value = F.replace(value, F.lit(mark), F.lit("\\" + mark))
+        return value
 
     return F.sha2(F.concat_ws("|", *[text(name) for name in columns]), 256)
 

@@ -37,80 +37,46 @@ from silverlode.llm.common import slices, texts_of
 SIZE, END = 4096, 2
 CUT_SENTENCE, CUT_INSIDE, SEQUENCE = 6, 48, 1
 STRETCH = 64 * SIZE
-#: A worker remembers so many chunks of text and, in each of two generations, so many stems.
-REMEMBERED = 400_000
+#: A worker remembers so many chunks of text in each of two generations.
+REMEMBERED = 500_000
 TOKENIZER = "word_bpe_49k.json"
 
 
-class Recent:
-    """A bounded memo of token ids by text: two generations, so that what is in use survives the change."""
-
-    def __init__(self, limit: int):
-        self.limit, self.new, self.old = limit, {}, {}
-
-    def get(self, key: str) -> tuple | None:
-        found = self.new.get(key)
-        if found is None:
-            found = self.old.get(key)
-            if found is not None:
-                self.put(key, found)
-        return found
-
-    def put(self, key: str, value: tuple) -> None:
-        if len(self.new) >= self.limit:
-            self.old, self.new = self.new, {}
-        self.new[key] = value
-
-
 class Words:
     """Token ids of white-space separated chunks, each encoded once while remembered.
 
-    White space always separates tokens of this tokenizer, so a text's ids are those of its chunks in a row, and letters
-    and closing marks are separate tokens, so a chunk's ids are those of its stem and its marks.
+    White space always separates tokens of this tokenizer, so a text's ids are those of its chunks in a row; letters and
+    marks are separate tokens too, so marks that close a word become a chunk.  Chunks are kept in two generations: what is
+    in use survives the change.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.stems = Recent(REMEMBERED)
-        self.clear()
+        self.index: dict[str, int] = {}
+        self.renew()
 
-    def clear(self) -> None:
+    def renew(self) -> None:
+        self.old = (self.index, self.flat, self.starts, self.lengths) if self.index else ({}, (), (), ())
         self.index: dict[str, int] = {}
         self.flat, self.starts, self.lengths, self.closing = array("I"), array("q"), array("q"), array("b")
 
-    def _encode(self, text: str) -> tuple:
-        return tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
     def _learn(self, chunks: list[str]) -> None:
-        """Adds new chunks to the index; stems of letters alone are encoded in one call."""
-        parts, unknown = [], {}
-        for chunk in chunks:
-            stem = chunk.rstrip(_CLOSERS)
-            rest = chunk[len(stem) :]
-            if stem.isalpha():
-                stem = stem if "Σ" in stem else stem.lower()  # a final sigma depends on its place
-                if stem.isalpha() and self.stems.get(stem) is None:
-                    unknown[stem] = None
-            parts.append((stem, rest) if stem.isalpha() else (chunk, ""))
-        fresh = list(unknown)
+        """Adds new chunks to the index; chunks of letters alone are encoded in one call."""
+        index, flat, starts, lengths = self.old
+        known, fresh, others = [c for c in chunks if c in index], [], []
+        for c in chunks:
+            if c not in index:
+                (fresh if c.isalpha() else others).append(c)
+        found = [flat[starts[k] : starts[k] + lengths[k]] for k in map(index.__getitem__, known)]
         if fresh:
             coded = self.tokenizer.encode(" ".join(fresh), add_special_tokens=False)
-            ids, word = coded.ids, np.array(coded.word_ids, np.int64)
-            edges = np.searchsorted(word, np.arange(len(fresh) + 1)).tolist()
-            for stem, a, b in zip(fresh, edges, edges[1:]):
-                unknown[stem] = tuple(ids[a:b])
-                self.stems.put(stem, unknown[stem])
-        for chunk, (stem, rest) in zip(chunks, parts):
-            ids = ()
-            for part in (stem, rest):
-                if part:
-                    found = unknown.get(part) or self.stems.get(part)
-                    if found is None:
-                        found = self._encode(part)
-                        self.stems.put(part, found)
-                    ids += found
+            ids = coded.ids
+            edges = np.searchsorted(np.array(coded.word_ids, np.int64), np.arange(len(fresh) + 1)).tolist()
+            found += [array("I", ids[a:b]) for a, b in zip(edges, edges[1:])]
+        found += [array("I", self.tokenizer.encode(c, add_special_tokens=False).ids) for c in others]
+        for chunk, ids in zip([*known, *fresh, *others], found):
             self.index[chunk] = len(self.starts)
             self.starts.append(len(self.flat))
             self.lengths.append(len(ids))
@@ -119,10 +85,9 @@ class Words:
 
     def lookup(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For all texts in a row: token ids, whether a sentence ends after each, and each text's number of ids."""
-        # str.split also splits at \x1c-\x1f, which the tokenizer does not take for white space
-        split = [re.split(r"[ \n]+", t) if _ODD.search(t) else t.split() for t in texts]
+        split = [chunks_of(t) for t in texts]
         if len(self.index) > REMEMBERED:
-            self.clear()
+            self.renew()
         chunks = [c for per in split for c in per]
         new = set(chunks).difference(self.index)
         if new:
@@ -130,9 +95,8 @@ class Words:
         place = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
         n = np.array(self.lengths, np.int64)[place] if len(place) else place
         after = np.cumsum(n)
-        flat = np.array(self.flat, np.uint32)
         begin = np.array(self.starts, np.int64)[place] if len(place) else place
-        ids = flat[np.repeat(begin - (after - n), n) + np.arange(int(n.sum()))]
+        ids = np.array(self.flat, np.uint32)[np.repeat(begin - (after - n), n) + np.arange(int(n.sum()))]
         ends = np.zeros(len(ids), bool)
         closing = np.array(self.closing, bool)[place] if len(place) else np.empty(0, bool)
         ends[after[closing & (n > 0)] - 1] = True
@@ -140,10 +104,22 @@ class Words:
         return ids, ends, np.diff(np.concatenate(([0], until)))
 
 
-_CLOSERS = ".,;:!?#$%&*|"
 _QUOTES = "\"')]»”’"
 _STOPS = frozenset(".!?…。")
-_ODD = re.compile("[\x1c-\x1f]")
+_ODD, _FOREIGN = re.compile("[\x1c-\x1f]"), re.compile("[^\x00-\u024f]")
+#: Marks that close a word: after a letter or digit, before white space or the end.
+_CLOSING = re.compile(r"[.,;:!?#$%&*|](?<=[^\W_].)[.,;:!?#$%&*|]*(?!\S)")
+
+
+def chunks_of(text: str) -> list[str]:
+    """Pieces of ``text`` whose ids in a row are the text's ids."""
+    if not _FOREIGN.search(text):  # beyond Latin letters, lower case may depend on the place; the tokenizer does it itself
+        text = text.lower()
+    text = _CLOSING.sub(r" \g<0>", text)
+    # str.split also splits at \x1c-\x1f, which the tokenizer does not take for white space
+    return re.split(r"[ \n]+", text) if _ODD.search(text) else text.split()
+
+
 _WORDS: dict[str, Words] = {}
 
 

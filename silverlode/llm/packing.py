@@ -21,6 +21,7 @@ come; a text of any length is cut over as many sequences as it needs; an empty t
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from array import array
 from collections import deque
@@ -68,7 +69,7 @@ class Words:
         known, fresh, others = [c for c in chunks if c in index], [], []
         for c in chunks:
             if c not in index:
-                (fresh if c.isalpha() else others).append(c)
+                (fresh if _only_letters(c) else others).append(c)
         found = [flat[starts[k] : starts[k] + lengths[k]] for k in map(index.__getitem__, known)]
         if fresh:
             coded = self.tokenizer.encode(" ".join(fresh), add_special_tokens=False)
@@ -111,6 +112,11 @@ _ODD, _FOREIGN = re.compile("[\x1c-\x1f]"), re.compile("[^\x00-\u024f]")
 _CLOSING = re.compile(r"[.,;:!?#$%&*|](?<=[^\W_].)[.,;:!?#$%&*|]*(?!\S)")
 
 
+def _only_letters(chunk: str) -> bool:
+    """Whether the tokenizer, which composes and lower-cases, takes the chunk for one run of letters."""
+    return chunk.isalpha() and (chunk.isascii() or unicodedata.normalize("NFC", chunk).lower().isalpha())
+
+
 def chunks_of(text: str) -> list[str]:
     """Pieces of ``text`` whose ids in a row are the text's ids."""
     if not _FOREIGN.search(text):  # beyond Latin letters, lower case may depend on the place; the tokenizer does it itself

@@ -152,7 +152,7 @@ def _linked(marks: np.ndarray, i: np.ndarray, j: np.ndarray, budget: int) -> np.
 
 
 def _stars(keys: np.ndarray, nodes: np.ndarray, marks: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows with equal keys stand together; returns node pairs that join what is linked within a key."""
+    """Rows are sorted by key and node; returns pairs of a node and the smallest node it is joined with within a key."""
     left, right = [], []
     i, d = np.arange(len(keys)), 1
     while True:
@@ -181,7 +181,7 @@ def _stars(keys: np.ndarray, nodes: np.ndarray, marks: np.ndarray, budget: int)
 
 
 def _links_in_order(budget: int, words: int):
-    """For ``mapInArrow`` over rows (key, node, f0, ...) sorted by key: the last key of a batch waits for the next batch."""
+    """For ``mapInArrow`` over rows (key, node, f0, ...) sorted by key and node: the last key of a batch waits for the next batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] | None = None
@@ -215,11 +215,11 @@ def links(marks: DataFrame, words: int, masks: list[list[int]], budget: int) ->
     rows = marks.select(F.explode(keys).alias("key"), "node", *cols)
     counts = rows.groupBy("key").count().where(F.col("count") > BLOCK)
     hot = materialize(counts.select("key", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "hotkeys")
-    plain = rows.join(hot, "key", "left_anti").repartition("key").sortWithinPartitions("key")
+    plain = rows.join(hot, "key", "left_anti").repartition("key").sortWithinPartitions("key", "node")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda p: F.struct(F.least(own, p).alias("x"), F.greatest(own, p).alias("y")))
     dealt = rows.join(hot, "key").select("key", F.explode(meets).alias("at"), "node", *cols)
-    dealt = dealt.select(F.xxhash64("key", "at.x", "at.y").alias("key"), "node", *cols).repartition("key").sortWithinPartitions("key")
+    dealt = dealt.select(F.xxhash64("key", "at.x", "at.y").alias("key"), "node", *cols).repartition("key").sortWithinPartitions("key", "node")
     run = _links_in_order(budget, words)
     return plain.mapInArrow(run, "a long, b long").union(dealt.mapInArrow(run, "a long, b long")).distinct()
 

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 
 def current(df: DataFrame) -> DataFrame:
-    """The active version of each key of a versioned table."""
-    return df.where(F.col("status") == "ACTIVE")
+    """The active version of each key of a versioned table; a table that keeps no versions is returned as it is."""
+    return df.where(F.col("status") == "ACTIVE") if "status" in df.columns else df
 
 
 def as_of(df: DataFrame, moment: Column) -> DataFrame:

@@ -110,7 +110,7 @@ def customer_restaurant_preferences(t: Tables, k: int = 10) -> DataFrame:
         pairs, current(t["dim_restaurant"]), "restaurant_id", ["restaurant_name", "cuisine_type", "location_id"], "inner"
     )
     named = lookup(named, current(t["dim_customer"]), "customer_id", ["customer_name"], "inner")
-    named = lookup(named, t["dim_location"], "location_id", ["city", "state"]).drop("location_id")
+    named = lookup(named, current(t["dim_location"]), "location_id", ["city", "state"]).drop("location_id")
     ranked = top_per_group(
         named,
         ["customer_id"],

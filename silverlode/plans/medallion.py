@@ -168,7 +168,7 @@ class Medallion:
                 phase()
             except Exception as error:
                 result.seconds[name] = time.monotonic() - started
-                result.status, result.failed_phase, result.error = "FAILED", name, str(error)[:4000]
+                result.status, result.failed_phase, result.error = "FAILED", name, str(error)
                 self._log(result, source, moment)
                 raise PhaseFailed(result) from error
             result.seconds[name] = time.monotonic() - started

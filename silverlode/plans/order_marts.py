@@ -29,7 +29,7 @@ def _restaurant(t: Tables, df: DataFrame, columns: Collection[str], places: Coll
     """Restaurant attributes and, through its location, place attributes."""
     dimension = current(t["dim_restaurant"])
     if places:
-        dimension = lookup(dimension, t["dim_location"], "location_id", list(places))
+        dimension = lookup(dimension, current(t["dim_location"]), "location_id", list(places))
     return lookup(df, dimension, "restaurant_id", [*columns, *places])
 
 
@@ -176,7 +176,7 @@ def order_fulfillment(t: Tables) -> DataFrame:
         joined, ["delivery_agent_id", "_day"], ["delivery_id"], [total("agent_deliveries_same_day", "count", "delivery_id")]
     )
     named = lookup(loaded, current(t["dim_customer"]), "customer_id", ["customer_name"])
-    restaurants = lookup(current(t["dim_restaurant"]), t["dim_location"], "location_id", ["city"]).select(
+    restaurants = lookup(current(t["dim_restaurant"]), current(t["dim_location"]), "location_id", ["city"]).select(
         "restaurant_id",
         "restaurant_name",
         "cuisine_type",
@@ -187,12 +187,14 @@ def order_fulfillment(t: Tables) -> DataFrame:
     named = lookup(
         named, current(t["dim_delivery_agent"]), "delivery_agent_id", ["delivery_agent_name", "vehicle_type", "rating"]
     )
-    addresses = current(t["dim_customer_address"]).select(
+    addresses = current(t["dim_customer_address"])
+    kind = "addresstype" if "addresstype" in addresses.columns else "address_type"  # as loaded, or as the mart names it
+    addresses = addresses.select(
         "customer_address_id",
         F.col("locality").alias("delivery_locality"),
         F.col("city").alias("delivery_city"),
         F.col("zipcode").alias("delivery_zipcode"),
-        "address_type",
+        F.col(kind).alias("address_type"),
     )
     named = named.join(addresses, "customer_address_id", "left")
     actual, estimate = F.col("actual_delivery_time_mins"), F.col("estimated_delivery_time_mins")
@@ -414,7 +416,7 @@ def order_summary(t: Tables, parts: Collection[str] = ORDER_SUMMARY_PARTS) -> Da
         )
     if "restaurant" in parts:
         restaurants = lookup(
-            current(t["dim_restaurant"]), t["dim_location"], "location_id", ["city", "state", "city_tier", "zip_code"]
+            current(t["dim_restaurant"]), current(t["dim_location"]), "location_id", ["city", "state", "city_tier", "zip_code"]
         ).select(
             "restaurant_id", "restaurant_name", "cuisine_type", F.col("pricing_for_two").alias("restaurant_pricing"),
             F.col("locality").alias("restaurant_locality"), "city", "state", "city_tier", "zip_code",

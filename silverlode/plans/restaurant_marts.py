@@ -22,7 +22,7 @@ def cuisine_performance(t: Tables) -> DataFrame:
         F.count("order_id").alias("_n"), F.sum("total_amount").alias("_sum")
     )
     restaurants = lookup(
-        current(t["dim_restaurant"]), t["dim_location"], "location_id", ["city", "state", "city_tier"]
+        current(t["dim_restaurant"]), current(t["dim_location"]), "location_id", ["city", "state", "city_tier"]
     ).select("restaurant_id", "pricing_for_two", *place)
     per_restaurant = pairs.groupBy("restaurant_id").agg(F.sum("_n").alias("_n"), F.sum("_sum").alias("_sum"))
     # A restaurant without orders still counts once in the average price.
@@ -112,7 +112,7 @@ def restaurant_performance(t: Tables) -> DataFrame:
     buyers = orders.groupBy("restaurant_id").agg(F.count_distinct("customer_id").alias("unique_customers"))
     counts = ["total_orders", "unique_customers", "completed_orders", "cancelled_orders"]
     joined = (
-        lookup(current(t["dim_restaurant"]), t["dim_location"], "location_id", ["city", "state", "city_tier"])
+        lookup(current(t["dim_restaurant"]), current(t["dim_location"]), "location_id", ["city", "state", "city_tier"])
         .join(lifetime, "restaurant_id", "left")
         .join(buyers, "restaurant_id", "left")
         .fillna(0, counts)

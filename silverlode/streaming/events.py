@@ -37,14 +37,14 @@ FILE_MESSAGE = T.StructType(
 _METADATA = ["topic", "partition", "offset", "kafka_timestamp", "key", "value"]
 
 
-def kafka_messages(spark: SparkSession, servers: str, topics: list[str], per_batch: int = 1_000_000) -> DataFrame:
-    """Messages from a broker; needs the Kafka connector on the class path."""
+def kafka_messages(spark: SparkSession, servers: str, topics: list[str], per_batch: int | None = None) -> DataFrame:
+    """Messages from a broker; needs the Kafka connector on the class path.  ``per_batch`` limits the rate, if given."""
     raw = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", ",".join(topics))
         .option("startingOffsets", "earliest")
-        .option("maxOffsetsPerTrigger", per_batch)
+        .options(**({"maxOffsetsPerTrigger": per_batch} if per_batch else {}))
         .load()
     )
     return raw.select(
@@ -53,10 +53,10 @@ def kafka_messages(spark: SparkSession, servers: str, topics: list[str], per_bat
     )
 
 
-def file_messages(spark: SparkSession, path: str, files_per_batch: int = 100, stream: bool = True) -> DataFrame:
+def file_messages(spark: SparkSession, path: str, files_per_batch: int | None = None, stream: bool = True) -> DataFrame:
     """The same messages from JSON-lines files.  A line that is no message keeps its text as value."""
     schema = T.StructType([*FILE_MESSAGE.fields, T.StructField("_corrupt_record", T.StringType())])
-    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch) if stream else spark.read
+    reader = spark.readStream.options(**({"maxFilesPerTrigger": files_per_batch} if files_per_batch else {})) if stream else spark.read
     raw = reader.schema(schema).option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
     sent = F.coalesce(F.timestamp_millis("timestamp_ms"), F.current_timestamp())
     return raw.select(

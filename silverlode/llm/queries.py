@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from silverlode.llm import chat, decontam, langid, licenses, linededup, packing, pii, quality, simhash, topk
 from silverlode.llm.common import id_remainder
-from silverlode.session import tune
+from silverlode.session import materialize, tune
 
 #: Key of the registered pseudonym query; a real run passes its own secret.
 PSEUDONYM_KEY = b"registered query"
@@ -37,7 +37,7 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     pages = read(spark, folder, "pages").select("page_id", linededup.host_of(F.col("url")).alias("host"), linededup.visible_lines(F.col("html")).alias("text"))
-    found = linededup.without_boilerplate(pages, F.col("host"))
+    found = linededup.without_boilerplate(materialize(pages, "visible"), F.col("host"))
     return found.select("page_id", "host", F.col("lines_before").cast("long").alias("lines_before"), F.col("lines_dropped").cast("long").alias("lines_dropped"), "text")
 
 

@@ -16,13 +16,14 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.config import Catalog, Retry, Source
+from silverlode.catalog import duplicate, mandatory
+from silverlode.config import Catalog, Retry, Rule, Source
 from silverlode.operators import bronze, merge, quality, scd2
 from silverlode.operators.dims import enrich_location
 from silverlode.operators.history import transitions
 from silverlode.session import materialize
 from silverlode.sources.files import read_source
-from silverlode.sources.tables import BUCKET, Layer
+from silverlode.sources.tables import BUCKET, Layer, TableMoved
 
 RUN_LOG, STATISTICS, ALERTS, DEAD_LETTERS, RECONCILIATION, BATCHES = (
     "ingest_run", "dq_run_statistics", "alerts", "dead_letter", "reconciliation_log", "batch",
@@ -50,6 +51,8 @@ class RunResult:
     error: str | None = None
     counts: dict[str, int] = field(default_factory=dict)
     seconds: dict[str, float] = field(default_factory=dict)
+    # The version of each table that the batch built on.
+    bases: dict[str, int] = field(default_factory=dict)
 
 
 def side_by_side(*tasks: Callable[[], object]) -> list:
@@ -59,6 +62,25 @@ def side_by_side(*tasks: Callable[[], object]) -> list:
     return [f.result() for f in futures]
 
 
+def _until_current(phase: Callable[[], object]) -> None:
+    """Run a phase, and anew if another batch published its table meanwhile."""
+    while True:
+        try:
+            phase()
+            return
+        except TableMoved:
+            continue
+
+
+def one_row_per_key(source: Source, rules: Sequence[Rule]) -> list[Rule]:
+    """``rules``, and those that reject missing and repeated keys where the source's entity has none."""
+    key, known = source.keys[0], {(r.kind, r.column) for r in rules}
+    added = [mandatory(source.entity, key)]
+    if source.merge_on == [key]:
+        added.append(duplicate(source.entity, key))
+    return [*rules, *[r for r in added if (r.kind, r.column) not in known]]
+
+
 class PhaseFailed(RuntimeError):
     def __init__(self, result: RunResult):
         super().__init__(f"{result.source}: {result.failed_phase} failed: {result.error}")
@@ -90,18 +112,18 @@ class Medallion:
         return self.spark.createDataFrame([], ddl).schema
 
     def next_run_id(self) -> int:
-        """One global counter: the log has one row per run, so its maximum is cheap."""
-        return self._known_run("")[1]
+        """The number after the last logged one; a run reserves its own, so overlapping runs never share one."""
+        return self._known_run("")[2] + 1
 
-    def _known_run(self, batch_id: str) -> tuple[bool, int]:
-        """Whether the batch succeeded before, and its run id: an earlier one of the batch, or the next."""
+    def _known_run(self, batch_id: str) -> tuple[bool, int | None, int]:
+        """Whether the batch succeeded before, its run id if it was logged, and the last id of all runs."""
         mine = F.col("batch_id") == batch_id
         log = self.runs().agg(
             F.max("ingest_run_id").alias("last"),
             F.max(F.when(mine, F.col("ingest_run_id"))).alias("mine"),
             F.count_if(mine & (F.col("run_status") == "SUCCESS")).alias("done"),
         ).first()
-        return log["done"] > 0, log["mine"] or (log["last"] or 0) + 1
+        return log["done"] > 0, log["mine"], log["last"] or 0
 
     def finished(self, batch_id: str) -> bool:
         return self._known_run(batch_id)[0]
@@ -152,9 +174,10 @@ class Medallion:
         wins, and never replaces a newer stored one.
         """
         moment = _moment(now)
-        done, run_id = self._known_run(batch_id)
+        done, run_id, last = self._known_run(batch_id)
         if done:
             return RunResult(batch_id, source.name, run_id, status="SKIPPED")
+        run_id = run_id or self.layer.reserve(batch_id, last)
         result = RunResult(batch_id, source.name, run_id)
         at = F.lit(moment).cast("timestamp_ntz")
         phases = (
@@ -165,7 +188,7 @@ class Medallion:
         for name, phase in phases:
             started = time.monotonic()
             try:
-                phase()
+                _until_current(phase)
             except Exception as error:
                 result.seconds[name] = time.monotonic() - started
                 result.status, result.failed_phase, result.error = "FAILED", name, str(error)
@@ -173,6 +196,8 @@ class Medallion:
                 raise PhaseFailed(result) from error
             result.seconds[name] = time.monotonic() - started
         self._log(result, source, moment)
+        for table in (source.target.silver, source.target.gold, self._history(source)):
+            self.layer.forget(table, batch_id)
         return result
 
     # ---- phases ------------------------------------------------------------------------
@@ -185,7 +210,8 @@ class Medallion:
         result.counts["source_rows"] = seen.get["rows"]
 
     def _to_silver(self, source: Source, result: RunResult, now: Column) -> None:
-        target, key, rules = source.target, source.keys[0], self.catalog.rules_for(source.entity)
+        target, key = source.target, source.keys[0]
+        rules = one_row_per_key(source, self.catalog.rules_for(source.entity))
         if result.counts.get("source_rows") == 0:
             return
         streaming = source.ingestion == "STREAM"
@@ -193,6 +219,7 @@ class Medallion:
             rules = [r for r in rules if r.kind != "DUPLICATE_ALLOW_ONE_CHECK"]
         staged = bronze.stage(self.layer.read(target.bronze), result.ingest_run_id).select(*source.names, EVENT_TS)
         references = _References(self.layer)
+        base = result.bases[target.silver] = self.layer.base(target.silver, result.batch_id)
         validated = quality.validate(staged, rules, key, references).persist()
         try:
             figures = quality.statistics(validated, rules, result.ingest_run_id)
@@ -208,7 +235,9 @@ class Medallion:
                 lambda: self.layer.replace_partitions(errors, target.errors, ["ingest_run_id"]),
                 lambda: self.layer.replace_partitions(stats, STATISTICS, ["ingest_run_id"]),
             )
-            self._publish_silver(source, staged[0], staged[1])
+            self.layer.publish(
+                target.silver, result.batch_id, base, lambda: self._publish_silver(source, staged[0], staged[1])
+            )
         finally:
             validated.unpersist()
 
@@ -227,7 +256,7 @@ class Medallion:
             after = merge.upsert(old, batch, keys, newest_by=newest_by)
         mine, first = F.col("batch_id") == result.batch_id, F.col("created_at") == F.col("updated_at")
         figures = {"silver_inserted": F.count_if(mine & first), "silver_updated": F.count_if(mine & ~first)}
-        staged, counts = layer.stage(after, target.silver, result.batch_id, figures)
+        staged, counts = layer.stage(after, target.silver, result.batch_id, figures, result.bases[target.silver])
         result.counts.update(counts)
         return staged
 
@@ -240,12 +269,14 @@ class Medallion:
         last = None
         if self.layer.exists(silver):
             # Events older than the stored state never became current, so they are no transition.
-            last = self.layer.read(silver).select(key, status, F.col(EVENT_TS).alias("_stored_ts"))
+            # Only the batch's buckets are read, and only its keys leave the scan.
+            near = self.layer.read(silver).where(F.col(BUCKET).isin(self.layer.touched(good, source.merge_on)))
+            last = merge.stored_for(near, good, [key], [status, EVENT_TS]).withColumnRenamed(EVENT_TS, "_stored_ts")
             timed = timed.join(last.select(key, "_stored_ts"), key, "left").where(
                 F.col("_stored_ts").isNull() | (F.col(EVENT_TS) >= F.col("_stored_ts"))
             ).drop("_stored_ts")
         changes = transitions(timed, key, status, EVENT_TS, [status], last).withColumn("batch_id", F.lit(result.batch_id))
-        return self.layer.stage(changes, self._history(source), result.batch_id)[0]
+        return self.layer.stage(changes, self._history(source), result.batch_id, base=result.bases[silver])[0]
 
     def _history(self, source: Source) -> str:
         return f"{source.target.gold}_status_history"
@@ -265,7 +296,8 @@ class Medallion:
         layer, gold, keys = self.layer, source.target.gold, source.keys
         if result.counts.get("source_rows") == 0:
             return
-        batch = layer.staged(source.target.silver, result.batch_id).where(F.col("batch_id") == result.batch_id)
+        base = layer.base(gold, result.batch_id)
+        batch = layer.staged(source.target.silver, result.batch_id, result.bases[source.target.silver]).where(F.col("batch_id") == result.batch_id)
         batch = batch.select(*source.silver_names).withColumn(BUCKET, layer.bucket_of(keys))
         shape = scd2.new_versions(
             batch.withColumn("row_hash", F.lit("")).withColumn("scd_action", F.lit("INSERT")), batch_id=result.batch_id, now=now
@@ -278,8 +310,10 @@ class Medallion:
         expired = F.col("status") == "INACTIVE"
         after = after.withColumn("expired_by", F.when(expired, F.lit(result.batch_id)).otherwise("open"))
         figures = {"new": F.count_if((F.col("batch_id") == result.batch_id) & ~expired), "expired": F.count_if(expired)}
-        staged, counts = layer.stage(after, gold, result.batch_id, figures)
-        layer.replace_partitions(staged, gold, ["status", "expired_by", BUCKET])
+        staged, counts = layer.stage(after, gold, result.batch_id, figures, base)
+        layer.publish(
+            gold, result.batch_id, base, lambda: layer.replace_partitions(staged, gold, ["status", "expired_by", BUCKET])
+        )
         result.counts["gold_inserted"] = counts["new"] - counts["expired"]
         result.counts["gold_updated"] = counts["expired"]
 

@@ -128,6 +128,43 @@ def test_crash_while_gold_is_published(engine, tmp_path, monkeypatch):
     assert gold.where("status = 'ACTIVE'").groupBy("order_id").count().where("count > 1").count() == 0
 
 
+def test_repeat_keeps_what_another_batch_published(engine, tmp_path, monkeypatch):
+    def order(name, state, number):
+        return write(tmp_path, f"order_{number}.csv", [f"{name},C1,1,2024-01-01 10:00:00,5.00,{s},UPI" for name, s in zip(name, state)])
+
+    files = [order(["O1"], ["PLACED"], 1), order(["O2"], ["PLACED"], 2), order(["O3", "O1"], ["PLACED", "READY"], 3)]
+
+    def lost(self, *args):
+        raise OSError("lost")
+
+    engine.run_files("ORDER_BATCH", "", files[0], now=DAY[0], batch_id="B1")
+    monkeypatch.setattr(Medallion, "_publish_silver", lost)
+    with pytest.raises(PhaseFailed):
+        engine.run_files("ORDER_BATCH", "", files[1], now=DAY[1], batch_id="B2")
+    monkeypatch.undo()
+    engine.run_files("ORDER_BATCH", "", files[2], now=DAY[2], batch_id="B3")
+    engine.run_files("ORDER_BATCH", "", files[1], now=DAY[3], batch_id="B2")
+    want = [("O1", "READY"), ("O2", "PLACED"), ("O3", "PLACED")]
+    assert rows(engine.layer.read("order_slv").select("order_id", "order_status")) == want
+    assert rows(engine.layer.read("fact_order").where("status = 'ACTIVE'").select("order_id", "order_status")) == want
+
+
+def test_overlapping_runs_get_their_own_numbers(engine):
+    first = engine.layer.reserve("A", 0)
+    assert (first, engine.layer.reserve("B", 0), engine.layer.reserve("A", 0)) == (1, 2, 1)
+
+
+def test_repeated_and_missing_keys_do_not_multiply(engine, tmp_path):
+    header = "LOCATION_BRZ_ID,CITY,STATE,ZIP_CODE"
+    file = write(tmp_path, "location_1.csv", ["1,Mumbai,Maharashtra,400001", "1,Pune,Maharashtra,411001", ",Leh,Ladakh,194101"], header)
+    for number in range(3):
+        result = engine.run_files("LOCATION_BATCH", "", file, now=DAY[number], batch_id=f"L{number}")
+    assert (result.counts["gold_inserted"], result.counts["gold_updated"]) == (0, 0)
+    for table in ("location_slv", "dim_location"):
+        assert [r.location_id for r in engine.layer.read(table).collect()] == [1], table
+    assert engine.layer.read("location_load_error").count() == 6
+
+
 def test_strict_load_aborts_and_reports_the_phase(engine, tmp_path):
     file = write(tmp_path, "order_1.csv", FIRST)
     with pytest.raises(PhaseFailed) as failure:

@@ -14,7 +14,7 @@ date    a day of 1800-2199 as y-m-d, d.m.y or d/m/y: the day's number among thes
 email   letters and digits of the name before @; the domain stays.
 secret  a value of 16 or more letters and digits assigned to token, key, secret or password.
 
-Results: null stays null, empty stays empty; a value that its permutation happens to leave as it is goes once more round;
+Results: null stays null, empty stays empty; a value that its permutation happens to leave as it is stays;
 overlaps go to the earliest, then to the first kind listed; repeated rows are treated alike; an empty table stays empty.
 """
 

@@ -44,8 +44,13 @@ def group_totals(df: DataFrame, keys: Sequence[str], *measures: Column) -> DataF
     Used where a window over the group would put a hot group into one task: the
     aggregation combines before its shuffle, and the join back can be split.
     """
+    return with_totals(df, df, keys, *measures)
+
+
+def with_totals(df: DataFrame, facts: DataFrame, keys: Sequence[str], *measures: Column) -> DataFrame:
+    """``group_totals`` whose aggregates are taken from ``facts``, the rows of ``df`` before it was widened."""
     names = [f"_g{i}" for i in range(len(keys))]
-    totals = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(*measures)
+    totals = facts.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(*measures)
     condition = F.lit(True)
     for key, name in zip(keys, names):
         condition = condition & F.col(key).eqNullSafe(F.col(name))

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from silverlode.config import CHECK_TYPES, ConfigError, Rule, ordered_rules
 from silverlode.functions.scalar import as_timestamp, boundary_diff
-from silverlode.operators.sequence import row_number, total, with_features
+from silverlode.operators.joins import group_totals
+from silverlode.operators.sequence import first_of_each
 
 ERROR_KEYS = ["error_id", "validate_column", "validation_type", "ingest_run_id"]
-_ERROR, _DUP, _OPEN = "_dq", "_dq_rn", "_dq_open"
+_ERROR, _FIRST = "_dq", "_dq_first"
 
 
 def _found(position: int) -> str:
@@ -99,16 +100,13 @@ def _report(rules: Sequence[Rule]) -> list[Column]:
 def _number_duplicates(
     df: DataFrame, rule: Rule, position: int, key: str, prefer: Sequence[str], columns: list[str]
 ) -> DataFrame:
-    """Number the rows that are still valid within each value; all but the first are errors.
-
-    Validity is part of the partition key, so that no second pass is needed.
-    """
+    """All but the first of the rows that are still valid within each value are errors."""
     named = {item.partition(" ")[0] for item in prefer}
     order = list(dict.fromkeys([key, *prefer, *[c for c in columns if c not in named]]))
-    marked = df.withColumn(_OPEN, F.col(_ERROR).isNull() & F.col(rule.column).isNotNull())
-    numbered = with_features(marked, [rule.column, _OPEN], order, [row_number(_DUP)])
-    extra = F.col(_OPEN) & (F.col(_DUP) > 1)
-    return numbered.withColumn(_ERROR, F.when(extra, position).otherwise(F.col(_ERROR))).drop(_OPEN, _DUP)
+    still_valid = F.col(_ERROR).isNull() & F.col(rule.column).isNotNull()
+    marked = first_of_each(df, [rule.column], order, still_valid, _FIRST)
+    extra = still_valid & ~F.col(_FIRST)
+    return marked.withColumn(_ERROR, F.when(extra, position).otherwise(F.col(_ERROR))).drop(_FIRST)
 
 
 def valid_rows(validated: DataFrame) -> DataFrame:
@@ -206,7 +204,7 @@ def collect_all(df: DataFrame, rules: Sequence[Rule], as_of=None) -> DataFrame:
         column = F.col(rule.column) if rule.column in columns else None
         if rule.kind == "DUPLICATE":
             counted = f"_copies_{position}"
-            df = with_features(df, [rule.column], [rule.column], [total(counted, "count", rule.column)])
+            df = group_totals(df, [rule.column], F.count(rule.column).alias(counted))
             good = F.col(counted) <= 1
         elif rule.kind == "FRESHNESS" and rule.expression is None:
             good = boundary_diff("day", column, as_timestamp(as_of)) <= rule.threshold

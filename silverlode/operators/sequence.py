@@ -1,14 +1,14 @@
 """Ordered features per key (numbering, lag/lead, moving and running values, totals).
 
-A window function puts every row of a key into one task.  That is right for
-ordinary keys and wrong for a key that holds a third of the table.  So:
-
-* inputs whose files fit into one task anyway use a plain window;
-* larger inputs are probed once with a combining count per key.  Ordinary keys
-  keep the plain window; hot keys are range-partitioned *within* the key,
-  evaluated per segment, and completed from a per-segment summary.
-
-Both ways give the same values; ``tests/test_sequence.py`` compares them.
+A window function puts every row of its partition into one task.  That is wrong for a key that may hold a third of the
+table, so a key is cut into segments by its first order column: each hour of a timestamp, each day of a date.  Windows run
+within a segment.  What a segment needs from the others (how many rows and which sums come before it, the rows next to
+it, the totals of its key) is worked out from one row per key and segment, and travels as one extra row that sorts
+before the segment's own, so rows are shuffled once and never joined.  A key has at most as many summary rows as the
+calendar has hours.  The plan is the same at every size; building it runs no job and writes nothing.
+
+Where the caller knows that a key is small (after an aggregation to days, or within a dimension) it says ``bounded``,
+which is a plain window.
 """
 
 from __future__ import annotations
@@ -16,17 +16,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from silverlode.session import materialize
-
-# Inputs below this many bytes of files are never probed: one task can sort them.
-PROBE_BYTES_KEY, PROBE_BYTES = "silverlode.sequence.probeBytes", 512 * 1024 * 1024
-# A key with more rows than this is split over several tasks.
-HOT_ROWS_KEY, HOT_ROWS = "silverlode.sequence.hotRows", 20_000_000
-
-_SEG, _TIE, _POS, _SIZE, _GHOST = "_seg", "_tie", "_pos", "_size", "_ghost"
+_SEG, _REAL, _CARRY = "_seg", "_real", "_carry"
+#: Groups over which the rows of one value are dealt out by ``first_of_each``.
+_SHARES = 256
 
 
 @dataclass(frozen=True)
@@ -114,156 +110,107 @@ def _plain(df: DataFrame, keys: Sequence[str], order: Sequence[str], features: S
     return df.select("*", *[expression(f).alias(f.alias) for f in features])
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Size of the files and frames below ``df``, from the optimizer's own statistics."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-
-
-def _setting(spark: SparkSession, key: str, default: int) -> int:
-    return int(spark.conf.get(key, str(default)))
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> list:
-    """Keys above the hot-row limit: at most total rows / limit of them, so collecting is safe."""
-    limit = _setting(df.sparkSession, HOT_ROWS_KEY, HOT_ROWS)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.where(F.col("_rows") > limit).select(*keys).collect()
-
-
 def with_features(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], features: Sequence[Feature]
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], features: Sequence[Feature], bounded: bool = False
 ) -> DataFrame:
-    """Add ordered per-key features.  ``order`` should end in a unique tie-breaker."""
-    keys = list(keys)
-    spark = df.sparkSession
-    if input_bytes(df) <= _setting(spark, PROBE_BYTES_KEY, PROBE_BYTES):
-        return _plain(df, keys, order, features)
-    found = hot_keys(df, keys)
-    if not found:
-        return _plain(df, keys, order, features)
-    names = [f"_k{i}" for i in range(len(keys))]
-    listed = spark.createDataFrame(found, df.select(*keys).schema).toDF(*names)
-    same = _null_safe(keys, names)
-    ordinary = _plain(df.join(F.broadcast(listed), same, "left_anti"), keys, order, features)
-    split = _segmented(df.join(F.broadcast(listed), same, "left_semi"), keys, order, features)
-    typed = [F.col(field.name).cast(field.dataType).alias(field.name) for field in ordinary.schema]
-    return ordinary.unionByName(split.select(*typed))
-
-
-def _null_safe(left: Sequence[str], right: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for a, b in zip(left, right):
-        condition = condition & F.col(a).eqNullSafe(F.col(b))
-    return condition
+    """Add ordered per-key features.  ``order`` should end in a unique tie-breaker.
 
+    Unless ``bounded``, the first order column is a date or timestamp, all of them ascend, and lag and lead reach one row.
+    """
+    if bounded:
+        return _plain(df, list(keys), order, features)
+    return _segmented(df, list(keys), order, features)
 
-def _segmented(df: DataFrame, keys: list[str], order: Sequence[str], features: Sequence[Feature]) -> DataFrame:
-    """The same features for hot keys, with each key spread over many tasks.
 
-    Segments are ranges of (key, order, tie).  They are written to the shared
-    folder once, so that a recomputed task cannot see other range bounds.
-    """
-    spark = df.sparkSession
-    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sort = [*sort_columns(order), F.col(_TIE)]
-    ranged = (
-        df.withColumn(_TIE, F.monotonically_increasing_id())
-        .repartitionByRange(parts, *keys, *sort)
-        .withColumn(_SEG, F.spark_partition_id())
-    )
-    rows = materialize(ranged, "segments")
-
-    back = max([f.rows - (f.kind == "moving") for f in features if f.kind in ("lag", "moving")], default=0)
-    ahead = max([f.rows for f in features if f.kind == "lead"], default=0)
-    sums = [f for f in features if f.kind in ("running", "total")]
+def _segment(df: DataFrame, column: str) -> Column:
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DateType):
+        return F.col(column)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_trunc("hour", column)
+    raise ValueError(f"{column!r} is no date or timestamp to cut keys by; use an aggregation, or bounded keys")
 
-    in_segment = Window.partitionBy(*keys, _SEG)
-    ordered = in_segment.orderBy(*sort)
-    placed = rows.withColumn(_POS, F.row_number().over(ordered)).withColumn(
-        _SIZE, F.count(F.lit(1)).over(in_segment)
-    )
-    carried = list(
-        dict.fromkeys(
-            [*_order_names(order), _TIE, *[f.column for f in features if f.kind in ("lag", "lead", "moving")]]
-        )
-    )
-    edge = F.struct(_POS, *[name for name in carried if name not in keys])
-    summary = placed.groupBy(*keys, _SEG).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sort_array(F.collect_list(F.when(F.col(_POS) <= ahead, edge))).alias("_head"),
-        F.sort_array(F.collect_list(F.when(F.col(_POS) > F.col(_SIZE) - back, edge))).alias("_tail"),
-        *[F.sum(F.col(f.column) if f.fn != "count" else F.lit(None).cast("long")).alias(f"_s_{f.alias}") for f in sums],
-        *[F.count(F.col(f.column)).alias(f"_c_{f.alias}") for f in sums],
-    )
-
-    # From here one row per key and segment: at most ``parts`` rows per key.
-    along = Window.partitionBy(*keys).orderBy(_SEG)
-    before = along.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
 
-    def edges(column: str, first: int, last: int) -> Column:
-        return F.flatten(F.collect_list(F.col(column)).over(along.rowsBetween(first, last)))
+def _segmented(df: DataFrame, keys: list[str], order: Sequence[str], features: Sequence[Feature]) -> DataFrame:
+    near = [f for f in features if f.kind in ("lag", "lead")]
+    if any(" " in item for item in order) or any(f.kind == "moving" for f in features) or any(f.rows != 1 for f in near):
+        raise ValueError("descending orders, moving averages and distant rows are for bounded keys")
+    kinds = {field.name: field.dataType for field in _plain(df, keys, order, features).schema}
+    sums = [f for f in features if f.kind in ("running", "total")]
+    behind = list(dict.fromkeys(f.column for f in features if f.kind == "lag"))
+    ahead = list(dict.fromkeys(f.column for f in features if f.kind == "lead"))
+    rows = df.withColumn(_SEG, _segment(df, order[0]))
 
-    picked = [*[F.col(k) for k in keys], F.col(_SEG), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0")]
+    # one row per key and segment; combined before its shuffle
+    place = F.struct(*order)
+    measures = [F.count(F.lit(1)).alias("_n")]
     for f in sums:
-        window = before if f.kind == "running" else whole
-        picked.append(F.sum(f"_s_{f.alias}").over(window).alias(f"_s0_{f.alias}"))
-        picked.append(F.coalesce(F.sum(f"_c_{f.alias}").over(window), F.lit(0)).alias(f"_c0_{f.alias}"))
-    if back:
-        tail = edges("_tail", -back, -1)
-        picked.append(F.slice(tail, F.greatest(F.size(tail) - back + 1, F.lit(1)), back).alias("_before"))
+        measures.append(F.count(f.column).alias(f"_c_{f.alias}"))
+        if f.fn != "count":
+            measures.append(F.sum(f.column).alias(f"_s_{f.alias}"))
+    if behind:
+        measures.append(F.max_by(F.struct(*behind), place).alias("_last"))
     if ahead:
-        picked.append(F.slice(edges("_head", 1, ahead), 1, ahead).alias("_after"))
-    offsets = summary.select(*picked)
-
-    body = rows.withColumn(_GHOST, F.lit(False))
-    neighbours = [name for name, wanted in (("_before", back), ("_after", ahead)) if wanted]
-    if neighbours:
-        ghosts = (
-            offsets.select(*keys, _SEG, F.explode(F.concat(*neighbours)).alias("_g"))
-            .select(*keys, _SEG, *[F.col(f"_g.{n}").alias(n) for n in carried if n not in keys])
-            .withColumn(_GHOST, F.lit(True))
-        )
-        body = body.unionByName(ghosts, allowMissingColumns=True)
+        measures.append(F.min_by(F.struct(*ahead), place).alias("_first"))
+    summary = rows.groupBy(*keys, _SEG).agg(*measures)
 
+    along = Window.partitionBy(*keys).orderBy(_SEG)
+    before, whole = along.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*keys)
+    carried = [F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("n")]
+    for f in sums:
+        span = before if f.kind == "running" else whole
+        carried.append(F.coalesce(F.sum(f"_c_{f.alias}").over(span), F.lit(0)).alias(f"c_{f.alias}"))
+        if f.fn != "count":
+            carried.append(F.sum(f"_s_{f.alias}").over(span).alias(f"s_{f.alias}"))
+    if ahead:
+        carried.append(F.lead("_first").over(along).alias("next"))
+    last = F.lag("_last").over(along) if behind else None
+    picked = [*keys, _SEG, *[c.alias(f"_x{i}") for i, c in enumerate(carried)]]
+    extra = summary.select(*picked, *([last.alias("_previous")] if behind else []))
+    names = ["n", *[x for f in sums for x in ([f"c_{f.alias}"] + ([f"s_{f.alias}"] if f.fn != "count" else []))], *(["next"] if ahead else [])]
+    carry = F.struct(*[F.col(f"_x{i}").alias(name) for i, name in enumerate(names)])
+    # the extra row holds the values of the row before its segment, so that lag finds them
+    taken = {c: F.col(f"_previous.{c}") for c in behind}
+    extra = extra.select(*keys, _SEG, carry.alias(_CARRY), F.lit(False).alias(_REAL), *[v.alias(f"_l_{c}") for c, v in taken.items()])
+    body = rows.withColumn(_REAL, F.lit(True)).withColumns({f"_l_{c}": F.col(c) for c in behind}).unionByName(extra, allowMissingColumns=True)
+
+    ordered = Window.partitionBy(*keys, _SEG).orderBy(_REAL, *sort_columns(order))
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    real = ~F.col(_GHOST)
-
-    def local(feature: Feature) -> list[Column]:
-        if feature.kind == "row_number":
-            return [F.sum(F.when(real, 1)).over(so_far).alias(feature.alias)]
-        if feature.kind == "running":
-            value = F.when(real, F.col(feature.column))
-            parts_of = [F.count(value).over(so_far).alias(f"_lc_{feature.alias}")]
-            if feature.fn != "count":
-                parts_of.append(F.sum(value).over(so_far).alias(f"_ls_{feature.alias}"))
-            return parts_of
-        if feature.kind == "total":
-            return []
-        return [_bounded(feature, ordered).alias(feature.alias)]
-
-    located = body.select("*", *[column for f in features for column in local(f)]).where(real)
-    renamed = [f"_k{i}" for i in range(len(keys))]
-    offsets = offsets.drop("_before", "_after").withColumnsRenamed(
-        {**dict(zip(keys, renamed)), _SEG: "_oseg"}
-    )
-    joined = located.join(offsets, _null_safe(keys, renamed) & (F.col(_SEG) == F.col("_oseg")))
-
-    def final(feature: Feature) -> Column:
-        name = feature.alias
-        if feature.kind == "row_number":
-            return F.col("_n0") + F.col(name)
-        if feature.kind in ("running", "total"):
-            count = F.col(f"_c0_{name}")
-            if feature.kind == "running":
-                count = count + F.col(f"_lc_{name}")
-            if feature.fn == "count":
-                return count
-            value = F.col(f"_s0_{name}")
-            if feature.kind == "running":
-                value = F.coalesce(value + F.col(f"_ls_{name}"), value, F.col(f"_ls_{name}"))
-            return value if feature.fn == "sum" else value.cast("double") / count
-        return F.col(name)
-
-    return joined.select(*df.columns, *[final(f).alias(f.alias) for f in features])
+    sent = F.first(_CARRY).over(so_far)
+
+    def local(f: Feature) -> Column:
+        if f.kind == "row_number":
+            return sent["n"] + F.row_number().over(ordered) - 1
+        if f.kind == "lag":
+            return F.lag(f"_l_{f.column}").over(ordered)
+        if f.kind == "lead":
+            return F.when(F.lead(_REAL).over(ordered).isNotNull(), F.lead(f.column).over(ordered)).otherwise(sent["next"][f.column])
+        count, value = sent[f"c_{f.alias}"], None if f.fn == "count" else sent[f"s_{f.alias}"]
+        if f.kind == "running":
+            own = F.when(F.col(_REAL), F.col(f.column))
+            count = count + F.count(own).over(so_far)
+            if value is not None:
+                here = F.sum(own).over(so_far)
+                value = F.coalesce(value + here, value, here)
+        if value is None:
+            return count
+        return value if f.fn == "sum" else value.cast("double") / count
+
+    made = [local(f).cast(kinds[f.alias]).alias(f.alias) for f in features]
+    return body.select(*df.columns, _REAL, *made).where(_REAL).drop(_REAL)
+
+
+def first_of_each(df: DataFrame, keys: Sequence[str], order: Sequence[str], among: Column, alias: str) -> DataFrame:
+    """``alias``: whether a row is the first of its key (NULL keys form one) of the rows where ``among`` holds.
+
+    The rows of a key are dealt out over shares by the partition they come from, the first of each share is found, and
+    then the first of those: no task holds all rows of a hot key, copies of one row included.
+    """
+    columns, by = df.columns, sort_columns(order)
+    chosen = F.coalesce(among, F.lit(False))
+    shared = df.withColumn("_among", chosen).withColumn("_share", F.pmod(F.spark_partition_id(), F.lit(_SHARES)))
+    local = shared.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys, "_among", "_share").orderBy(*by)))
+    finalist = F.col("_among") & (F.col("_rank") == 1)
+    grouped = local.withColumn("_share", F.when(finalist, -1).otherwise(F.col("_share")))
+    final = F.row_number().over(Window.partitionBy(*keys, "_among", "_share").orderBy(*by))
+    return grouped.select(*columns, ((F.col("_share") == -1) & (final == 1)).alias(alias))

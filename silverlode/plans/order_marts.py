@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from silverlode.functions import buckets
 from silverlode.functions.scalar import as_date, boundary_diff, digits_to_int, div0, mean, mean_of, percent
 from silverlode.operators.dims import calendar_columns
-from silverlode.operators.joins import current, lookup
+from silverlode.operators.joins import current, group_totals, lookup, with_totals
 from silverlode.operators.sequence import (
     lag,
     lead,
@@ -172,9 +172,7 @@ def order_fulfillment(t: Tables) -> DataFrame:
     )
     joined = orders.join(deliveries, "order_id", "left").withColumn("_day", F.to_date("delivery_date"))
     # Current versions hold each delivery once, so the count per agent and day is a distinct count.
-    loaded = with_features(
-        joined, ["delivery_agent_id", "_day"], ["delivery_id"], [total("agent_deliveries_same_day", "count", "delivery_id")]
-    )
+    loaded = group_totals(joined, ["delivery_agent_id", "_day"], F.count("delivery_id").alias("agent_deliveries_same_day"))
     named = lookup(loaded, current(t["dim_customer"]), "customer_id", ["customer_name"])
     restaurants = lookup(current(t["dim_restaurant"]), current(t["dim_location"]), "location_id", ["city"]).select(
         "restaurant_id",
@@ -229,7 +227,6 @@ def order_payment(t: Tables) -> DataFrame:
         "order_id", "order_date", "customer_id", "restaurant_id", "total_amount", "payment_method", "order_status"
     )
     order = ["order_date", "order_id"]
-    # Rows of a customer also hold its payment methods, so both steps use one exchange.
     used = with_features(orders, ["customer_id"], order, [running("payment_methods_used_to_date", "count", "payment_method")])
     used = with_features(
         used,
@@ -298,12 +295,14 @@ def restaurant_daily(t: Tables) -> DataFrame:
             moving_average("ma7_revenue", "daily_revenue", 7),
             lag("orders_same_day_last_week", "daily_orders", 7),
         ],
+        bounded=True,
     )
     daily = with_features(
         daily,
         ["restaurant_id", "order_month"],
         ["order_day"],
         [running("mtd_orders", "sum", "daily_orders"), running("mtd_revenue", "sum", "daily_revenue")],
+        bounded=True,
     )
     named = _restaurant(
         t, daily, ["restaurant_name", "cuisine_type", "pricing_for_two", "locality"], ["city", "state", "city_tier"]
@@ -453,15 +452,9 @@ def order_time_analysis(t: Tables, crowding: bool = True) -> DataFrame:
         )
         rows = rows.join(busy, ["order_date_key", "order_hour"], "left")
         rows = rows.join(by_hour, "order_hour", "left").join(by_weekday, "day_of_week", "left")
-        rows = with_features(
-            rows,
-            ["restaurant_id", "order_date_key", "order_hour"],
-            ["order_id"],
-            [total("restaurant_orders_in_same_hour", "count", "order_id")],
-        )
-        rows = with_features(
-            rows, ["customer_id", "order_date_key"], ["order_id"], [total("customer_orders_same_day", "count", "order_id")]
-        )
+        slot, visit = ["restaurant_id", "order_date_key", "order_hour"], ["customer_id", "order_date_key"]
+        rows = with_totals(rows, orders, slot, F.count("order_id").alias("restaurant_orders_in_same_hour"))
+        rows = with_totals(rows, orders, visit, F.count("order_id").alias("customer_orders_same_day"))
     named = _restaurant(t, rows, ["restaurant_name", "cuisine_type"], ["city", "state"])
     return named.select(
         "*",

@@ -108,12 +108,16 @@ def cohort_retention(cohorts: DataFrame, as_of, months: int = 6) -> DataFrame:
     return grouped.agg(F.avg("retention_rate").alias("retention_rate")).orderBy("cohort_month", "months_since_first_order")
 
 
-def cohort_matrix(cohorts: DataFrame, as_of, months: int = 6) -> DataFrame:
-    """Retention as a matrix; the pivot values are given, so no extra pass finds them."""
+def cohort_matrix(cohorts: DataFrame, as_of, last_month: int, months: int = 6) -> DataFrame:
+    """Retention as a matrix, a column for each month up to ``last_month`` since the first order.
+
+    The pivot values are given, so no extra pass finds them; months beyond the last column stay in the map ``later``.
+    """
     rows = cohort_retention(cohorts, as_of, months)
-    wide = rows.groupBy("cohort_month").pivot("months_since_first_order", list(range(months + 1)))
-    matrix = wide.agg(F.first("retention_rate"))
-    return matrix.withColumnsRenamed({str(m): f"month_{m}" for m in range(months + 1)})
+    month, rate = F.col("months_since_first_order"), F.col("retention_rate")
+    cells = [F.max(F.when(month == m, rate)).alias(f"month_{m}") for m in range(last_month + 1)]
+    beyond = F.sort_array(F.collect_list(F.when(month > last_month, F.struct(month, rate))))
+    return rows.groupBy("cohort_month").agg(*cells, F.map_from_entries(beyond).alias("later"))
 
 
 def restaurant_kpis(performance: DataFrame) -> DataFrame:

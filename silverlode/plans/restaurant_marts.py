@@ -63,6 +63,7 @@ def menu_performance(t: Tables) -> DataFrame:
     """Menu items with the orders of their restaurant and their own item orders.
 
     Orders are aggregated per restaurant before the join: menu times orders would explode.
+    Windows run over menu items only, and a restaurant's menu is small.
     """
     per_restaurant = current(t["fact_order"]).groupBy("restaurant_id").agg(
         F.count("order_id").alias("estimated_orders"), F.sum("total_amount").alias("_sum")
@@ -76,10 +77,10 @@ def menu_performance(t: Tables) -> DataFrame:
         .withColumn("_revenue", F.col("price") * F.col("estimated_orders"))
     )
     ranked = with_features(
-        menu, ["restaurant_id", "category"], ["menu_id"], [total("avg_category_price", "avg", "price")]
+        menu, ["restaurant_id", "category"], ["menu_id"], [total("avg_category_price", "avg", "price")], bounded=True
     )
-    ranked = with_features(ranked, ["restaurant_id"], ["estimated_orders desc", "menu_id"], [row_number("popularity_rank")])
-    ranked = with_features(ranked, ["restaurant_id"], ["_revenue desc", "menu_id"], [row_number("revenue_rank")])
+    ranked = with_features(ranked, ["restaurant_id"], ["estimated_orders desc", "menu_id"], [row_number("popularity_rank")], bounded=True)
+    ranked = with_features(ranked, ["restaurant_id"], ["_revenue desc", "menu_id"], [row_number("revenue_rank")], bounded=True)
     named = lookup(ranked, current(t["dim_restaurant"]), "restaurant_id", ["restaurant_name"])
     orders = F.nullif(F.col("estimated_orders"), F.lit(0))
     return named.select(

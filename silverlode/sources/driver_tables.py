@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.operators.history import transitions
-from silverlode.operators.sequence import row_number, with_features
 
 RAW_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -61,8 +60,8 @@ def fact_order_item(t: Mapping[str, DataFrame]) -> DataFrame:
         "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate", "l_discount", "l_tax",
         "l_returnflag", "l_linestatus",
     ]
-    numbered = with_features(t["lineitem"], ["l_orderkey", "l_linenumber"], order, [row_number("_rn")])
-    return numbered.where("_rn = 1").select(
+    keys = ["l_orderkey", "l_linenumber"]
+    return t["lineitem"].groupBy(*keys).agg(F.min(F.struct(*order)).alias("_least")).select(*keys, "_least.*").select(
         F.concat(_text("l_orderkey"), F.lit("-"), _text("l_linenumber")).alias("order_item_id"),
         _text("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("menu_id"),

@@ -98,12 +98,13 @@ def _(t):
 
 @case(
     "a12_cohort_matrix",
-    wrap(COHORT_SQL, "SELECT cohort_month, " + ", ".join(
-        f"max(CASE WHEN months_since_first_order = {m} THEN retention_rate END) AS month_{m}" for m in range(7)
+    wrap(COHORT_SQL, "SELECT cohort_month, count(*) FILTER (months_since_first_order > 36) AS later_months, " + ", ".join(
+        f"max(CASE WHEN months_since_first_order = {m} THEN retention_rate END) AS month_{m}" for m in range(37)
     ) + f" FROM mart WHERE cohort_month >= DATE '{D9_AS_OF}' - INTERVAL '6' MONTH GROUP BY 1"),
 )
 def _(t):
-    return r.cohort_matrix(customer_marts.customer_cohort(t), D9_AS_OF)
+    matrix = r.cohort_matrix(customer_marts.customer_cohort(t), D9_AS_OF, last_month=36)
+    return matrix.withColumn("later_months", F.size("later").cast("long")).drop("later")
 
 
 @case(

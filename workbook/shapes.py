@@ -151,7 +151,7 @@ WEEK = f"""SELECT restaurant_id, order_day, orders, lag(orders, 7) OVER w AS wee
 def _(t):
     rows = with_features(
         daily(t).drop("revenue"), ["restaurant_id"], ["order_day"],
-        [lag("week_ago", "orders", 7), lag("day_ago", "orders"), lead("next_day", "orders"), row_number("position")],
+        [lag("week_ago", "orders", 7), lag("day_ago", "orders"), lead("next_day", "orders"), row_number("position")], bounded=True,
     )
     from silverlode.functions.scalar import percent
 
@@ -165,7 +165,7 @@ def _(t):
 )
 def _(t):
     rows = with_features(
-        daily(t), ["restaurant_id"], ["order_day"], [moving_average("ma7_orders", "orders", 7), running("revenue_to_date", "sum", "revenue")]
+        daily(t), ["restaurant_id"], ["order_day"], [moving_average("ma7_orders", "orders", 7), running("revenue_to_date", "sum", "revenue")], bounded=True
     )
     return rows.select("restaurant_id", "order_day", "ma7_orders", "revenue_to_date")
 
@@ -185,7 +185,7 @@ def _(t):
 @case("w9_month_to_date", f"SELECT restaurant_id, order_day, cast(sum(orders) OVER (PARTITION BY restaurant_id, date_trunc('month', order_day) ORDER BY order_day) AS bigint) AS mtd_orders FROM ({DAILY}) d")
 def _(t):
     rows = daily(t).withColumn("month", F.trunc("order_day", "month"))
-    return with_features(rows, ["restaurant_id", "month"], ["order_day"], [running("mtd_orders", "sum", "orders")]).select("restaurant_id", "order_day", "mtd_orders")
+    return with_features(rows, ["restaurant_id", "month"], ["order_day"], [running("mtd_orders", "sum", "orders")], bounded=True).select("restaurant_id", "order_day", "mtd_orders")
 
 
 @case("w11_distinct_window", "SELECT order_id, count(DISTINCT payment_method) OVER (PARTITION BY customer_id) AS methods FROM fact_order")
@@ -220,7 +220,7 @@ def _(t):
     from silverlode.operators.sequence import total
 
     keys = ["l_orderkey", "l_linenumber"]
-    rows = with_features(t["lineitem"], keys, ["l_partkey", "l_suppkey"], [row_number("copy"), total("copies", "count", "l_partkey")])
+    rows = with_features(t["lineitem"], keys, ["l_partkey", "l_suppkey"], [row_number("copy"), total("copies", "count", "l_partkey")], bounded=True)
     return rows.select(*keys, "copy", "copies")
 
 

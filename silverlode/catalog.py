@@ -17,14 +17,14 @@ ENTITY_COLUMNS = {
         restaurant_id int
         order_date timestamp
         total_amount decimal(10,2)
-        order_status upper
+        order_status code
         payment_method trim
     """,
     "delivery": """
         delivery_id raw
         order_id trim
         delivery_agent_id int
-        delivery_status trim
+        delivery_status code
         estimated_time trim
         customer_address_id int
         delivery_date timestamp

@@ -48,8 +48,8 @@ class FileFormat:
 class Column:
     """A source column: its rule, and the type the rule gives.
 
-    ``rule`` is one of raw, trim, upper, lower, int, date, timestamp, json, decimal(p,s),
-    or any SQL expression over the source column.
+    ``rule`` is one of raw, trim, upper, lower, code (upper case, blanks as underscores), int, date,
+    timestamp, json, decimal(p,s), or any SQL expression over the source column.
     """
 
     name: str

@@ -32,6 +32,8 @@ def typed(column: SourceColumn, strict: bool = False) -> Column:
         value = F.upper(trimmed)
     elif rule == "lower":
         value = F.lower(trimmed)
+    elif rule == "code":
+        value = F.replace(F.upper(trimmed), F.lit(" "), F.lit("_"))
     elif rule == "int":
         value = convert(trimmed, "bigint")
     elif rule == "date":

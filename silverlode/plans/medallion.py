@@ -339,13 +339,7 @@ class Medallion:
             result = self.run_files(source_name, root, file, **options)
         except PhaseFailed as failure:
             result, now = failure.result, _moment(options.get("now"))
-            record = {"stage_path": file or root, "failed_at": str(now)}
-            letter = self.spark.createDataFrame(
-                [(source_name, "TECHNICAL", result.error, result.batch_id, result.ingest_run_id, 0, "PENDING", now, record)],
-                """pipeline_name string, error_type string, error_message string, batch_id string, ingest_run_id bigint,
-                   retry_count int, processing_status string, created_at timestamp_ntz, record map<string,string>""",
-            ).withColumn("record_data", F.to_json("record")).drop("record")
-            self.layer.append(letter, DEAD_LETTERS)
+            self._bury(self.catalog.source(source_name), root, file, result, now)
             alert = self.spark.createDataFrame(
                 [(source_name, "FAILURE", "CRITICAL", f"Pipeline execution failed: {result.error}", "OPEN", now)],
                 "pipeline_name string, alert_type string, severity string, alert_message string, alert_status string, detected_at timestamp_ntz",
@@ -356,6 +350,37 @@ class Medallion:
             self.reconcile(source_name, result.batch_id, result.ingest_run_id, options.get("now"))
         return result
 
+    def _bury(self, source: Source, root: str, file: str | None, result: RunResult, now: datetime) -> None:
+        """A letter for each record of the failed batch, or one that names the files where they can't be read."""
+        path = F.lit(file or root).alias("stage_path")
+        try:
+            rows = read_source(self.spark, source, root, file)
+            records = rows.select(F.to_json(F.struct(*source.names, path)).alias("record_data"))
+            self._write_letters(records, source, result, now)
+        except Exception:  # noqa: BLE001 - whatever keeps the files from being read is what the letter is about
+            records = self.spark.range(1).select(F.to_json(F.struct(path)).alias("record_data"))
+            self._write_letters(records, source, result, now)
+
+    def _write_letters(self, records: DataFrame, source: Source, result: RunResult, now: datetime) -> None:
+        at = F.lit(now).cast("timestamp_ntz")
+        letters = records.select(
+            F.concat(F.lit(f"{result.batch_id}-"), F.monotonically_increasing_id().cast("string")).alias("dlq_id"),
+            F.lit(source.name).alias("pipeline_name"), F.lit("TECHNICAL").alias("error_type"),
+            F.lit(result.error).alias("error_message"), F.lit(result.ingest_run_id).cast("long").alias("ingest_run_id"),
+            F.lit(0).alias("retry_count"), F.lit("PENDING").alias("processing_status"), at.alias("created_at"),
+            F.lit(None).cast("timestamp_ntz").alias("last_retry_at"), "record_data", F.lit(result.batch_id).alias("batch_id"),
+        )
+        self.layer.replace_partitions(letters, DEAD_LETTERS, ["batch_id"])
+
+    def retry_dead_letters(self, source_name: str, retries: Sequence[Retry], **options) -> RunResult:
+        """Run this engine's own due letters of a source again and store how they were settled."""
+        letters = self.layer.read(DEAD_LETTERS)
+        mine = letters.where(F.col("pipeline_name") == source_name)
+        result, queue = self.retry_letters(source_name, mine, retries, **options)
+        # written first, as the table it comes from is replaced
+        self.layer.replace_partitions(materialize(queue, "settled"), DEAD_LETTERS, ["batch_id"])
+        return result
+
     def retry_letters(
         self, source_name: str, letters: DataFrame, retries: Sequence[Retry], *, now: datetime | None = None,
         limit: int | None = None, batch_id: str | None = None,

@@ -179,6 +179,7 @@ def test_run_with_recovery(engine, tmp_path):
     assert bad.status == "FAILED"
     letter = engine.layer.read("dead_letter").first()
     assert (letter.error_type, letter.processing_status) == ("TECHNICAL", "PENDING") and "order_1.csv" in letter.record_data
+    assert engine.layer.read("dead_letter").count() == 7
     assert engine.layer.read("alerts").first().severity == "CRITICAL"
     good = engine.run_with_recovery("ORDER_BATCH", "", file, now=DAY[1], batch_id="B1")
     log = engine.layer.read("reconciliation_log").orderBy("layer").collect()
@@ -252,6 +253,25 @@ def test_only_touched_buckets_are_rewritten(engine, tmp_path):
     assert len(engine.layer.touched(batch, ["order_id"])) == 1
 
 
+def test_letters_that_the_engine_wrote_are_run_again(engine, tmp_path):
+    from silverlode.config import Retry
+
+    file = write(tmp_path, "order_1.csv", FIRST)
+    assert engine.run_with_recovery("ORDER_BATCH", "", file, now=DAY[0], batch_id="B0", strict=True).status == "FAILED"
+    result = engine.retry_dead_letters("ORDER_BATCH", [Retry("ALL", "TECHNICAL", 2, 300)], now=DAY[1], batch_id="R1")
+    assert (result.counts["source_rows"], result.counts["valid_rows"]) == (7, 3)
+    states = {r.processing_status: r["count"] for r in engine.layer.read("dead_letter").groupBy("processing_status").count().collect()}
+    assert sum(states.values()) == 7 and states["RESOLVED"] >= 3 and states["PENDING"] >= 1
+    assert engine.layer.read("fact_order").count() == 3
+
+
+def test_files_that_cannot_be_read_leave_one_letter(engine, tmp_path):
+    missing = str(tmp_path / "nowhere.csv")
+    assert engine.run_with_recovery("ORDER_BATCH", "", missing, now=DAY[0], batch_id="B9").status == "FAILED"
+    letter = engine.layer.read("dead_letter").first()
+    assert missing in letter.record_data and letter.dlq_id.startswith("B9-")
+
+
 def test_dead_letters_are_run_again_as_one_batch(engine):
     from silverlode.config import Retry
 

@@ -72,6 +72,9 @@ class Layer:
         files, hadoop_path = self._files(path)
         files.delete(hadoop_path, True)
 
+    def tables(self) -> list[str]:
+        return sorted(n for n in self._names(self.root) if not n.startswith("_"))
+
     def exists(self, table: str) -> bool:
         return self._exists(self.path(table))
 

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
+
 from pyspark.sql import functions as F
 
 from silverlode.catalog import CSV_COMMA, CSV_PIPE, DEFAULT, JSON_ARRAY
+from silverlode.plans import delivery_marts
 from silverlode.plans.medallion import Medallion
+from silverlode.plans.views import LayerTables
 from silverlode.session import scratch_path
 from silverlode.sources import files
 from silverlode.streaming import events as ev
 from silverlode.streaming import jobs
 from workbook.core import case
+from workbook.delivery import AGENT_SQL
 
 ORDER = DEFAULT.source("ORDER_BATCH")
 
@@ -202,3 +207,39 @@ def _(t):
 @case("u8_stream_history", "SELECT concat('ORD', cast(entity_id AS varchar)) AS order_id, old_status, new_status, status_changed_at FROM status_history")
 def _(t):
     return streamed_orders(t).layer.read("fact_order_status_history").select("order_id", "old_status", "new_status", "status_changed_at")
+
+
+def delivered_twice(t) -> Medallion:
+    """Deliveries from two files: all assigned, then as they ended, in the sources' own spelling."""
+    from datetime import datetime
+
+    engine = medallion(t)
+    names = DEFAULT.source("DELIVERY_BATCH").names
+    ended = F.initcap(F.replace("delivery_status", F.lit("_"), F.lit(" ")))
+    for day, status in enumerate((F.lit("assigned"), ended), 1):
+        path = scratch_path(t.spark, "deliveries-csv")
+        texts = t["fact_delivery"].withColumn("delivery_status", status).select(*[F.col(n).cast("string") for n in names])
+        texts.write.option("header", True).option("nullValue", "\\N").csv(path)
+        engine.run_files("DELIVERY_BATCH", "", path, now=datetime(2001, 8, day), batch_id=f"BATCH_{day}")
+    return engine
+
+
+def _over_layers(t) -> ChainMap:
+    """The driver's tables, with deliveries and their history as a run has written them."""
+    written = LayerTables(delivered_twice(t).layer)
+    return ChainMap({name: written[name] for name in ("fact_delivery", "delivery_history")}, t)
+
+
+@case("e2e_m5_delivery_agent_performance", AGENT_SQL)
+def _(t):
+    return delivery_marts.delivery_agent_performance(_over_layers(t))
+
+
+@case(
+    "e2e_m7_delivery_status_transitions",
+    """SELECT delivery_id, old_status, new_status FROM (
+         SELECT delivery_id, NULL AS old_status, 'ASSIGNED' AS new_status FROM fact_delivery
+         UNION ALL SELECT delivery_id, 'ASSIGNED', delivery_status FROM fact_delivery) x""",
+)
+def _(t):
+    return delivery_marts.delivery_status_transitions(_over_layers(t)).select("delivery_id", "old_status", "new_status")

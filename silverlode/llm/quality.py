@@ -83,7 +83,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def learn(rows: list[tuple[str, int]]) -> Model:
-    """A model from (text, label) rows: three of four go into the dictionaries, all but those are for the curve."""
+    """A model from (text, label) rows: every other one goes into the dictionaries, the rest are for the curve."""
     by = {label: [t for t, y in rows if y == label] for label in (0, 1)}
     share = len(by[1]) / len(rows) if rows else 0.5
     flat = math.log(max(share, 1e-6) / max(1 - share, 1e-6))

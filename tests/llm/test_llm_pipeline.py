@@ -49,3 +49,17 @@ def test_stages_with_odd_rows(spark):
 
 def test_run_gives_pieces(spark):
     assert corpus_pipeline.run(spark, FOLDER).agg(F.max("length")).first()[0] <= 4096
+
+
+def test_further_columns_pass_through_whatever_their_names(spark):
+    """Extra columns that bear an operator's own names keep their values in every stage."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    mark = F.concat(F.lit("x"), F.col("doc_id").cast("string"))
+    names = ["Score", "lines_before", "_kept", "_bad", "_leak", "held_out"]
+    wide = docs.withColumns(dict.fromkeys(names, mark))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, wide, FOLDER)
+        assert found.columns == wide.columns
+        plain = stage(spark, docs, FOLDER)
+        assert found.count() == plain.count() > 0
+        assert found.where(" OR ".join(f"{n} IS DISTINCT FROM concat('x', doc_id)" for n in names)).isEmpty()

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.operators.history import transitions
+from silverlode.operators.joins import top_per_group
 
 RAW_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -60,8 +61,8 @@ def fact_order_item(t: Mapping[str, DataFrame]) -> DataFrame:
         "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate", "l_discount", "l_tax",
         "l_returnflag", "l_linestatus",
     ]
-    keys = ["l_orderkey", "l_linenumber"]
-    return t["lineitem"].groupBy(*keys).agg(F.min(F.struct(*order)).alias("_least")).select(*keys, "_least.*").select(
+    first = top_per_group(t["lineitem"], ["l_orderkey", "l_linenumber"], [F.col(c) for c in order], 1, "_rn")
+    return first.select(
         F.concat(_text("l_orderkey"), F.lit("-"), _text("l_linenumber")).alias("order_item_id"),
         _text("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("menu_id"),

@@ -301,3 +301,24 @@ def test_leaks_equal_brute_force(spark):
     assert {(r.doc_id, r.item_id) for r in decontam.leaks(df, asked).collect()} == want
     assert decontam.without_leaks(df, asked).count() == len(texts) - len(want)
     assert decontam.leaks(df, asked.limit(0)).count() == 0 and decontam.leaks(df.limit(0), asked).count() == 0
+
+
+def test_leaks_of_common_words_and_of_many_copies(spark):
+    """An item of frequent words, and a passage that a third of the rows hold, are found like any other."""
+    rng = random.Random(7)
+    frequent = [f"often{k}" for k in range(40)]
+    common = " ".join(rng.choice(frequent) for _ in range(40))
+    leaked, short = prose(900, 320), prose(901, 15)
+    texts = [" ".join(w for k in range(150) for w in (f"rare{rng.randrange(10**6)}", rng.choice(frequent))) for _ in range(300)]
+    want = set()
+    for k in range(100):  # copies of a whole document
+        texts[k] = leaked
+        want.add((k, 1))
+    for k in range(100, 200):  # one short passage in documents that differ
+        texts[k] = texts[k][: len(texts[k]) // 2] + " " + short + " " + texts[k][len(texts[k]) // 2 :]
+        want.add((k, 2))
+    for k in (250, 251):
+        texts[k] += " " + common
+        want.add((k, 0))
+    asked = spark.createDataFrame([(0, common), (1, " ".join(leaked.split()[37:90])), (2, short)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontam.leaks(docs(spark, texts), asked).collect()} == want

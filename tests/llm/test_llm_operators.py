@@ -322,3 +322,22 @@ def test_leaks_of_common_words_and_of_many_copies(spark):
         want.add((k, 0))
     asked = spark.createDataFrame([(0, common), (1, " ".join(leaked.split()[37:90])), (2, short)], "item_id long, text string")
     assert {(r.doc_id, r.item_id) for r in decontam.leaks(docs(spark, texts), asked).collect()} == want
+
+
+def test_paraphrases_are_decided_by_the_answer(spark):
+    """Texts that hold 60 % of an item: a leak if the answer's words are there, given or the item's rarest words."""
+    frequent = prose(950, 30).split()
+    item = [w if k not in (5, 17, 31) else f"rarest{k}" for k, w in enumerate((frequent + frequent)[:40])]
+    keeps = [w if k % 5 < 3 or k in (5, 17, 31) else f"other{k}" for k, w in enumerate(item)]
+    loses = [w if k not in (5, 17, 31) else f"gone{k}" for k, w in enumerate(keeps)]
+    around = [prose(k, 120).split() for k in range(60)]
+    texts = [" ".join(a[:60] + random.Random(k).sample(frequent, 30) + a[60:]) for k, a in enumerate(around)]
+    texts[0], texts[1] = (" ".join(a[:60] + part + a[60:]) for a, part in zip(around, (keeps, loses)))
+    df, given = docs(spark, texts), "item_id long, text string, answer string"
+    plain = spark.createDataFrame([(0, " ".join(item), None)], given)
+    assert [(r.doc_id, round(r.share, 1) < 0.7) for r in decontam.leaks(df, plain.drop("answer")).collect()] == [(0, True)]
+    assert [r.doc_id for r in decontam.leaks(df, plain, answer="answer").collect()] == [0]
+    named = spark.createDataFrame([(0, " ".join(item), "gone5 gone17")], given)
+    assert [r.doc_id for r in decontam.leaks(df, named, answer="answer").collect()] == [1]
+    kept = {r.doc_id for r in decontam.without_leaks(df, named, answer="answer").select("doc_id").collect()}
+    assert kept == set(range(60)) - {1}

@@ -3,9 +3,10 @@ from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+sys.path[:0] = [str(Path(__file__).resolve().parent.parent), str(Path(__file__).resolve().parent)]
 
 from silverlode.session import local_session  # noqa: E402
+from support import rows  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -16,11 +17,6 @@ def spark():
     session.stop()
 
 
-def rows(df):
-    """A frame's rows as a sorted list of tuples, for order-free comparison."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)
-
-
 @pytest.fixture(scope="session")
 def as_rows():
     return rows

@@ -2,7 +2,7 @@ import json
 from dataclasses import replace
 
 import pytest
-from conftest import rows
+from support import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

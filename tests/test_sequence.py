@@ -5,7 +5,7 @@ import random
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from silverlode.operators import sequence as sq

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from support import rows
 
 from silverlode.catalog import CSV_COMMA, CSV_PIPE, DEFAULT, JSON_ARRAY
 from silverlode.config import ConfigError, FileFormat

@@ -3,7 +3,7 @@ import os
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from silverlode.catalog import DEFAULT

@@ -1,6 +1,6 @@
 from datetime import datetime
 
-from conftest import rows
+from support import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

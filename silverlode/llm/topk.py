@@ -121,11 +121,12 @@ def _best(width: int, k: int):
         rid = rid[order]
         x = _matrix(rows["vector"].combine_chunks(), width)[order]
         score = (_matrix(queries["vector"].combine_chunks(), width) @ x.T).astype(np.int64)
-        score[qid[:, None] == rid[None, :]] = np.iinfo(np.int64).min
+        own = qid[:, None] == rid[None, :]
         n = min(k, len(rid))
-        best = np.argsort(-score, axis=1, kind="stable")[:, :n]  # ties: rows stand by id
+        # the query's own row goes behind all others; ties: rows stand by id
+        best = np.argsort(np.where(own, np.iinfo(np.int64).max, -score), axis=1, kind="stable")[:, :n]
         found = np.take_along_axis(score, best, axis=1).ravel()
-        ok = found > np.iinfo(np.int64).min
+        ok = ~np.take_along_axis(own, best, axis=1).ravel()
         return pa.table({"query_id": np.repeat(qid, n)[ok], "id": rid[best.ravel()][ok], "score": found[ok]})
 
     return run

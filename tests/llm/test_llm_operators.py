@@ -44,6 +44,18 @@ def test_top_k_equals_brute_force(spark, monkeypatch, blocks):
     assert got == sorted(want)
 
 
+@pytest.mark.parametrize("copies", [12, 3000])
+def test_top_k_among_copies_of_the_query(spark, copies):
+    """The best rows are copies of the query, in one annulus and in its own block; the k-th of them is the largest id."""
+    rng = np.random.default_rng(2)
+    rows = [(k, [float(x) for x in rng.normal(size=4).round(2)]) for k in range(copies, copies + 200)]
+    rows += [(k, [9.0, 9.0, 9.0, 9.0]) for k in range(copies)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {(r.query_id, r["rank"]): r.vec_id for r in topk.top_k(df, F.col("vec_id").isin(0, 5, 11), 10).collect()}
+    want = {(q, r): i for q in (0, 5, 11) for r, i in enumerate([i for i in range(copies) if i != q][:10], 1)}
+    assert got == want
+
+
 def test_top_k_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(df, F.col("vec_id") % 20 == 0).collect() == []

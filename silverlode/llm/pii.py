@@ -11,10 +11,13 @@ iban    country and 11-30 characters, remainder 1 modulo 97: digits permuted, ch
 phone   + country code and 7-14 further digits, or (ddd) ddd-dddd: all digits after the country code.
 ip      four octets: the 32-bit number.
 date    a day of 1800-2199 as y-m-d, d.m.y or d/m/y: the day's number among these; the form is kept.
-email   letters and digits of the name before @; the domain stays.
-secret  a value of 16 or more letters and digits assigned to token, key, secret or password.
+email   letters and digits of the name before @, however long; the domain stays.
+secret  a value of 16 or more letters and digits, however long, assigned to token, key, secret or password.
 
-Results: null stays null, empty stays empty; a value that its permutation happens to leave as it is stays;
+Values of over SEGMENT characters are permuted segment by segment, each under a key of what stands before it, so that work
+grows with their length; they are equal up to where the values first differ, to a whole segment.
+
+Results: a very long text is read whole, a very long value permuted whole; null stays null, empty stays empty; a value that its permutation happens to leave as it is stays;
 overlaps go to the earliest, then to the first kind listed; repeated rows are treated alike; an empty table stays empty.
 """
 
@@ -33,11 +36,13 @@ from silverlode.llm.common import per_slice, record_batch, texts_of
 
 KINDS = ("email", "secret", "iban", "ip", "date", "phone", "card", "number")
 ROUNDS = 10
+#: Characters of a value that are permuted as one number.
+SEGMENT = 128
 DAY0, DAYS = datetime.date(1800, 1, 1).toordinal(), datetime.date(2200, 1, 1).toordinal() - datetime.date(1800, 1, 1).toordinal()
 
 _PATTERN = re.compile(
-    r"(?P<email>[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}\b)"
-    r"|(?P<secret>(?i:\b(?:token|secret|password|passwd|api[_-]?key|key)\b[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?P<value>[A-Za-z0-9_+/-]{16,256}))"
+    r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}\b)"
+    r"|(?P<secret>(?i:\b(?:token|secret|password|passwd|api[_-]?key|key)\b[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?P<value>[A-Za-z0-9_+/-]{16,}))"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<ip>(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d))"
     r"|(?P<date>(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{2}([./])\d{2}\9\d{4})(?![\d/-]|\.\d))"
@@ -61,9 +66,7 @@ class Permutation:
         return int.from_bytes(digest, "big") % base
 
     def _network(self, kind: str, n: int, x: int, back: bool) -> int:
-        b = 1
-        while b * b < n:
-            b <<= 1
+        b = 1 << (((n - 1).bit_length() + 1) // 2)  # the smallest power of two whose square is at least n
         left, right = divmod(x, b)
         steps = range(ROUNDS)
         for i in reversed(steps) if back else steps:
@@ -103,7 +106,18 @@ def _digits(p: Permutation, kind: str, digits: str, back: bool) -> str:
 
 
 def _classes(p: Permutation, kind: str, text: str, back: bool) -> str:
-    """Digits, small and capital letters are each permuted among their kind, together as one mixed-radix number."""
+    """Digits, small and capital letters are each permuted among their kind; segments depend on all that precede them."""
+    out, before = [], kind
+    for a in range(0, len(text), SEGMENT):
+        part = text[a : a + SEGMENT]
+        new = _segment(p, before, part, back)
+        out.append(new)
+        before = f"{kind}|{hashlib.blake2b((before + (new if back else part)).encode(), digest_size=16).hexdigest()}"
+    return "".join(out)
+
+
+def _segment(p: Permutation, kind: str, text: str, back: bool) -> str:
+    """The characters of ``text`` together as one mixed-radix number, permuted."""
     sizes = [10 if c.isdigit() else 26 if c.isalpha() else 1 for c in text]
     starts = ["0" if c.isdigit() else "a" if c.islower() else "A" if c.isalpha() else c for c in text]
     n, x = 1, 0

@@ -1,6 +1,7 @@
 """Quality by compression: text resembles what a dictionary of like text compresses well.
 
-Two zstandard dictionaries hold good and bad labelled text as they are.  A text is compressed in pieces of PIECE bytes
+Two zstandard dictionaries of at most DICTIONARY_BYTES hold good and bad labelled text: all of it where that fits, else an
+equal share of each text, taken in STRETCHES evenly spread from its first to its last byte.  A text is compressed in pieces of PIECE bytes
 with each of them; the difference (bad size - good size) / bytes, averaged over the whole text, is positive for text like
 the good sample.  A logistic curve, fitted on labelled rows that the dictionaries do not hold, turns it into a score.
 
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 from silverlode.llm.common import per_slice, record_batch, texts_of
 
 SAMPLE, SAMPLE_CHARS = 2000, 20_000
-DICTIONARY_BYTES, PIECE, LEVEL = 1 << 20, 2048, 3
+DICTIONARY_BYTES, PIECE, LEVEL, STRETCHES = 1 << 20, 2048, 3, 4
 THRESHOLD = 0.3
 
 
@@ -62,10 +63,24 @@ def difference(text: str | None, compressors: list) -> float:
     return sum(len(bad.compress(p)) - len(good.compress(p)) for p in pieces) / len(data)
 
 
+def _stretches(data: bytes, share: int) -> bytes:
+    """``share`` bytes of ``data`` in STRETCHES pieces, the first at its start and the last at its end."""
+    if len(data) <= share:
+        return data
+    size = max(1, (share - STRETCHES + 1) // STRETCHES)
+    return b"\n".join(data[a : a + size] for a in ((len(data) - size) * k // (STRETCHES - 1) for k in range(STRETCHES)))
+
+
 def _dictionary(texts: list[str]) -> bytes:
-    """Equal shares of the texts, up to DICTIONARY_BYTES."""
-    share = max(64, DICTIONARY_BYTES // max(1, len(texts)))
-    return b"\n".join(t.encode("utf-8", "surrogatepass")[:share] for t in texts)[:DICTIONARY_BYTES] or b"\n" * 8
+    """The texts, or what they leave to each other of DICTIONARY_BYTES: shorter ones whole, longer ones in stretches."""
+    data = [t.encode("utf-8", "surrogatepass") for t in texts]
+    share, room, left = DICTIONARY_BYTES, DICTIONARY_BYTES - len(data), len(data)
+    for size in sorted(map(len, data)):
+        share = room // left
+        if size > share:
+            break
+        room, left = room - size, left - 1
+    return b"\n".join(_stretches(d, max(share, 64)) for d in data)[:DICTIONARY_BYTES] or b"\n" * 8
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:

@@ -5,9 +5,10 @@ space), square-rooted and scaled to length 1.  Linear support vector machines te
 rest) and, within the family that wins, each pair of languages; the language with most votes wins, the larger margin
 deciding ties.  Languages without a known family are a family of their own.
 
-The fit takes at most SAMPLE rows per language of at most SAMPLE_CHARS characters, the smallest hashes of the id: their
-feature vectors, at most SAMPLE * DIMENSIONS floats per language, are what the driver gets.  Predictions read whole texts
-and nothing else.
+The fit takes at most SAMPLE rows per language of at most SAMPLE_CHARS characters, the smallest hashes of the id, and fewer
+per language (LEAST_SAMPLE at least) once all languages together would have over SAMPLE_ROWS: the driver gets their feature
+vectors.  Every language with a labelled text of that size is learned, however many there are.  Predictions read whole
+texts and nothing else.
 
 Results: text that is null or holds no letter is ``und`` with score 0; so is every text if nothing could be learned;
 rows without id, language or letters are not learned from; of rows that repeat an id the smallest text is;
@@ -29,7 +30,8 @@ from pyspark.sql import types as T
 from silverlode.llm.common import per_slice, record_batch, texts_of
 
 UNDETERMINED = "und"
-SAMPLE, SAMPLE_CHARS, MAX_LANGUAGES = 400, 20_000, 60
+SAMPLE, SAMPLE_CHARS = 400, 20_000
+SAMPLE_ROWS, LEAST_SAMPLE = 24_000, 8
 DIMENSIONS = 1 << 13
 
 #: Languages by family, as ISO 639-1 codes (fixed values).
@@ -155,10 +157,16 @@ def fit(labelled: DataFrame, id: str = "doc_id", text: str = "text", lang: str =
     """Learns from rows with text and language; whatever must stay unseen is left out of ``labelled`` beforehand."""
     rows = labelled.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"), F.col(lang).alias("lang"))
     rows = rows.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS) & F.col("text").rlike(r"\p{L}"))
-    frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    ids = rows.select("lang", "id").withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE)
-    chosen = F.broadcast(ids.join(F.broadcast(frequent.select("lang")), "lang").select("lang", "id").distinct())  # at most SAMPLE * MAX_LANGUAGES
+    known = rows.select("lang", "id").distinct().withColumn("place", F.xxhash64("id"))
+    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}  # one row a language
+    each = max(LEAST_SAMPLE, min(SAMPLE, SAMPLE_ROWS // max(1, len(counts))))
+    # hashes spread evenly: this share of them holds well over ``each`` ids of a language, and no task gets many more
+    limits = [(lang, (1 << 63) - 1 if n <= 8 * each else int((1 << 64) * 4 * each / n) - (1 << 63)) for lang, n in counts.items()]
+    limit = labelled.sparkSession.createDataFrame(limits, "lang string, below long")
+    order = Window.partitionBy("lang").orderBy("place", "id")
+    near = known.join(F.broadcast(limit), "lang").where(F.col("place") <= F.col("below"))
+    ids = near.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= each)
+    chosen = F.broadcast(ids.select("lang", "id"))  # at most SAMPLE_ROWS, or LEAST_SAMPLE a language
     ranked = rows.join(chosen, ["lang", "id"]).groupBy("lang", "id").agg(F.min("text").alias("text"))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:

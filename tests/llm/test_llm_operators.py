@@ -158,6 +158,20 @@ def test_language_held_out(spark):
     assert {r.lang_pred for r in langid.identify(df, langid.fit(df.limit(0))).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    """Many languages with the same small sample each; a hot one, one with a repeated id, and texts at any length."""
+    monkeypatch.setattr(langid, "SAMPLE_ROWS", 700)
+    rng = random.Random(4)
+    letters = {f"x{k}": [chr(0x4E00 + 3 * k + c) for c in range(3)] for k in range(70)}
+    text = lambda lang: " ".join("".join(rng.choice(letters[lang]) for _ in range(4)) for _ in range(20))
+    rows = [(k, text(lang), lang) for k, lang in enumerate(list(letters) * 8 + ["x0"] * 400)] + [(5000, text("x1"), "x1")] * 300
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sorted(m for members in model.languages.values() for m in members) == sorted(letters)
+    asked = [(k, text(lang) * 400 if k == 3 else text(lang), lang) for k, lang in enumerate(letters)]
+    got = langid.identify(spark.createDataFrame(asked, "doc_id long, text string, lang string"), model).collect()
+    assert np.mean([r.lang_pred == r.lang for r in got]) >= 0.95
+
+
 # 5
 def test_licenses_equal_plain_python(spark):
     import re
@@ -246,6 +260,24 @@ def test_quality_held_out(spark):
     assert quality.fit(df, labels.limit(0)).score(0.0) == 0.5
 
 
+def test_dictionaries_reach_the_ends_of_texts(monkeypatch):
+    monkeypatch.setattr(quality, "DICTIONARY_BYTES", 4000)
+    texts = ["a" * 5000 + "end one", "short text", "b" * 5000 + "end two"]
+    held = quality._dictionary(texts).decode()
+    assert "end one" in held and "end two" in held and "short text" in held and len(held) <= 4000
+    assert quality._dictionary(["x", "y"]) == b"x\ny" and len(quality._dictionary([])) == 8
+
+
+def test_quality_learns_from_bodies_and_ends(spark):
+    """Texts whose first 2 KB say nothing are told apart by what follows."""
+    head = prose(77, 250)
+    texts = [head + " " + (prose(k, 150) if k % 2 == 0 else " ".join(w.upper() + "!!" for w in prose(k, 150).split())) for k in range(400)]
+    df = docs(spark, texts)
+    model = quality.fit(df, spark.createDataFrame([(k, 1 - k % 2) for k in range(200)], "doc_id long, quality int"))
+    got = {r.doc_id: r.score for r in quality.scores(df, model).collect()}
+    assert np.mean([(got[k] >= 0.5) == (k % 2 == 0) for k in range(200, 400)]) > 0.98
+
+
 # 8
 def test_pseudonyms(spark):
     text = "Card 4111 1111 1111 1111, DE89 3704 0044 0532 0130 00, +1 (017) 555-7713, 10.0.0.1, 2024-02-29, a.b7@x.org, token = 'abcdef0123456789abcd'"
@@ -263,6 +295,26 @@ def test_pseudonyms(spark):
     assert sorted(p.apply("x", 1000, i) for i in range(1000)) == list(range(1000))
 
 
+@pytest.mark.parametrize("n", [16, 128, 129, 190, 200, 256, 300, 5000, 150_000])
+def test_pseudonyms_of_long_values_are_whole_and_reversible(n):
+    rng = random.Random(n)
+    secret = "".join(rng.choice("abcXYZ0189") for _ in range(n))
+    name = "".join(rng.choice("abc019.") for _ in range(n)).strip(".") or "a"
+    for text, value in ((f"token={secret} end", secret), (f"write to {name}@x.org now", name)):
+        new, counts = pii.pseudonymise(text, b"key")
+        assert sum(counts.values()) == 1 and len(new) == len(text) and new != text
+        for a in range(0, len(value) - 40, 97):  # no stretch stays in clear
+            assert value[a : a + 40] not in new
+        assert pii.pseudonymise(new, b"key", back=True)[0] == text
+    assert pii.pseudonymise("x" * n, b"key")[0] == "x" * n
+
+
+def test_pseudonyms_keep_columns_of_their_names(spark):
+    df = spark.createDataFrame([(1, "10.0.0.1", "theirs")], "doc_id long, text string, n_card string")
+    row = pii.private(df, b"key").first()
+    assert row.n_ip == 1 and row.n_card == 0 and row.text != "10.0.0.1"
+
+
 # 9
 def test_chat_links_orders_and_validates(spark):
     tools = {"tools": [{"name": "add", "parameters": {"required": ["a", "b"], "properties": {"a": {"type": "integer"}, "b": {"type": "number"}}}}]}

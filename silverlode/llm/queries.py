@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import chat, decontam, langid, licenses, linededup, packing, pii, quality, simhash, topk
+from silverlode.llm import chat, decontam, langid, licenses, linededup, negatives, packing, pii, quality, simhash, topk
 from silverlode.llm.common import id_remainder
 from silverlode.session import materialize, tune
 
@@ -77,6 +77,11 @@ def op10_decontam(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+def op12_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(read(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 OP1_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS x
@@ -122,7 +127,28 @@ SELECT page_id, host, coalesce(CAST(len(all_lines) AS BIGINT), 0) AS lines_befor
 FROM kept
 """
 
+OP12_SQL = """
+WITH v AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS x
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.id AS anchor_id, c.id, a.label = c.label AS alike, CAST(list_dot_product(a.x, c.x) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.id % 100 = 0 AND c.id <> a.id
+), p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+), n AS (
+  SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.alike
+    AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_topk, op2_simhash, op3_line_dedup, op4_language, op5_licenses, op6_packing, op7_quality, op8_pii, op9_chat, op10_decontam)
+    f.__name__: f for f in (op1_topk, op2_simhash, op3_line_dedup, op4_language, op5_licenses, op6_packing, op7_quality, op8_pii, op9_chat, op10_decontam, op12_negatives)
 }
-ORACLE_SQL: dict[str, str] = {"op1_topk": OP1_SQL, "op3_line_dedup": OP3_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_topk": OP1_SQL, "op3_line_dedup": OP3_SQL, "op12_negatives": OP12_SQL}

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import chat, decontam, langid, licenses, linededup, negatives, packing, pii, quality, simhash, topk
-from silverlode.llm.common import id_remainder
+from silverlode.llm import chat, decontam, langid, licenses, linededup, merkle, negatives, packing, pii, quality, simhash, topk
+from silverlode.llm.common import ascii_lower, id_remainder
 from silverlode.session import materialize, tune
 
 #: Key of the registered pseudonym query; a real run passes its own secret.
@@ -77,6 +77,15 @@ def op10_decontam(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    changed = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, ascii_lower(F.col("text"))).otherwise(F.col("text"))
+    found = merkle.manifest(docs, F.col("lang"), F.col("doc_id"), fields, [*fields[:-1], changed])
+    text = {"leaf": "leaf", "subroot": "subroot", "root": "root", "proof_sha256": "proof", "folded_root": "folded"}
+    return found.select(F.col("order").alias("doc_id"), *[F.lower(F.hex(c)).alias(name) for name, c in text.items()], (F.col("folded") == F.col("root")).alias("verified"))
+
+
 def op12_negatives(spark: SparkSession, folder: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.hard_negatives(read(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
@@ -148,7 +157,48 @@ WITH v AS (
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
 """
 
+def _merkle_sql(levels: int = 8) -> str:
+    """Levels of both trees one after another, each node as the hash of its run; good for 8 ** levels rows of a language."""
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+    # CRC-32 of the id's digits, bit by bit
+    bits = "flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))"
+    step = "xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) & 1))"
+    crc = f"xor(list_reduce({bits}, lambda a, b: {step}, 4294967295::BIGINT), 4294967295)"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [
+        f"docs AS (SELECT doc_id, lang, {leaf('text')} AS leaf, CASE WHEN {crc} % 3 = 0 THEN {leaf(lowered)} ELSE {leaf('text')} END AS tampered FROM documents)",
+        "a0 AS (SELECT doc_id, lang, leaf, tampered, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS k, count(*) OVER (PARTITION BY lang) AS n FROM docs)",
+        "n0 AS (SELECT lang, k, n, leaf AS d FROM a0)",
+        "p0 AS (SELECT doc_id, lang, leaf, k, n, tampered AS folded, '' AS proof FROM a0)",
+    ]
+
+    def tree(nodes: str, paths: str, key: str) -> None:
+        """CTEs for each level: the nodes above, and each row's way over its siblings."""
+        for h in range(levels):
+            parts.append(
+                f"{nodes}{h + 1} AS (SELECT {key}, k // 8 AS k, (n + 7) // 8 AS n, CASE WHEN n = 1 THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY k)) END AS d "
+                f"FROM {nodes}{h} GROUP BY {key}, k // 8, n)"
+            )
+            parts.append(
+                f"{paths}{h + 1} AS (SELECT p.* EXCLUDE (k, n, folded, proof), p.k // 8 AS k, (p.n + 7) // 8 AS n, "
+                "CASE WHEN p.n = 1 THEN p.folded ELSE sha256(coalesce(s.l, '') || p.folded || coalesce(s.r, '')) END AS folded, p.proof || coalesce(s.l, '') || coalesce(s.r, '') AS proof "
+                f"FROM {paths}{h} p LEFT JOIN (SELECT me.{key} AS g, me.k AS k, string_agg(o.d, '' ORDER BY o.k) FILTER (o.k < me.k) AS l, string_agg(o.d, '' ORDER BY o.k) FILTER (o.k > me.k) AS r "
+                f"FROM {nodes}{h} me JOIN {nodes}{h} o ON me.{key} IS NOT DISTINCT FROM o.{key} AND me.k // 8 = o.k // 8 AND me.k <> o.k GROUP BY ALL) s ON s.g IS NOT DISTINCT FROM p.{key} AND s.k = p.k)"
+            )
+
+    tree("n", "p", "lang")
+    parts.append(f"sub AS (SELECT lang, d AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS k, count(*) OVER () AS n FROM n{levels})")
+    parts.append("t0 AS (SELECT 0 AS one, k, n, subroot AS d FROM sub)")
+    parts.append(f"q0 AS (SELECT p.doc_id, p.leaf, s.subroot, 0 AS one, s.k, s.n, p.folded, p.proof FROM p{levels} p JOIN sub s ON p.lang IS NOT DISTINCT FROM s.lang)")
+    tree("t", "q", "one")
+    return (
+        "WITH " + ",\n".join(parts) + f"\nSELECT doc_id, leaf, subroot, t.d AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = t.d AS verified "
+        f"FROM q{levels} q JOIN t{levels} t ON q.one = t.one"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_topk, op2_simhash, op3_line_dedup, op4_language, op5_licenses, op6_packing, op7_quality, op8_pii, op9_chat, op10_decontam, op12_negatives)
+    f.__name__: f for f in (op1_topk, op2_simhash, op3_line_dedup, op4_language, op5_licenses, op6_packing, op7_quality, op8_pii, op9_chat, op10_decontam, op11_merkle, op12_negatives)
 }
-ORACLE_SQL: dict[str, str] = {"op1_topk": OP1_SQL, "op3_line_dedup": OP3_SQL, "op12_negatives": OP12_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_topk": OP1_SQL, "op3_line_dedup": OP3_SQL, "op11_merkle": _merkle_sql(), "op12_negatives": OP12_SQL}

@@ -7,7 +7,7 @@ fewer, even one.  A tree of one leaf is that leaf.
 Nodes live in an append log in postorder: a node is written as soon as its last child is.  Where a node stands follows from
 sizes alone: before leaf i of a tree stand i leaves and i // FANOUT ** h nodes of each level h >= 1, and a node stands as
 many places behind its last leaf as its level says (``leaf_place``, ``node_place``).  So builders need not know each other:
-each takes an aligned run of FANOUT ** TIER leaves, appends the nodes over it in completion order, and gives the run's
+each takes an aligned run of FANOUT ** tier leaves, appends the nodes over it in completion order, and gives the run's
 root to the builder above, which does the same with roots as its leaves.  A proof needs the siblings on the way up.  Those
 within the run lie in the run's own stretch of the log; the few above it are addressed by their places and joined to it
 once per run, not once per row.
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from silverlode.session import materialize
 
 BITS, TIER = 3, 4
-FANOUT, RUN = 1 << BITS, 1 << BITS * TIER
+FANOUT = 1 << BITS
 #: Number of the tree over the groups' roots; what its levels are raised by where they follow those of a lower tree.
 TOP, UPPER = -1, 1 << 20
 
@@ -91,17 +91,17 @@ def numbered(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
 LOG = "tree long, place long, level int, k long, n long, digest binary"
 
 
-def _build(base: int):
+def _build(base: int, tier: int):
     """For ``applyInArrow``: an aligned run of nodes of level ``base``; returns the nodes over it, in completion order."""
 
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("k")
         tree, n, first = (rows[c][0].as_py() for c in ("tree", "n", "k"))
         top, ends = height(n) - base, -(-n // FANOUT**base)
-        open_children: list[list[bytes]] = [[] for _ in range(TIER)]
+        open_children: list[list[bytes]] = [[] for _ in range(tier)]
         level_of, k_of, digests = [], [], []
         for k, digest in enumerate(rows["digest"].to_pylist(), first):
-            for level in range(min(TIER, top)):
+            for level in range(min(tier, top)):
                 open_children[level].append(digest)
                 if (k + 1) % FANOUT ** (level + 1) and k + 1 < ends:
                     break
@@ -118,16 +118,16 @@ def _build(base: int):
     return run
 
 
-def build(leaves: DataFrame) -> DataFrame:
+def build(leaves: DataFrame, tier: int = TIER) -> DataFrame:
     """The log of all nodes above the leaves (tree, k, n, digest), written tier by tier."""
     most = leaves.agg(F.max("n")).first()[0] or 0
     base, below = 0, leaves.select("tree", "k", "n", "digest")
     log = leaves.sparkSession.createDataFrame([], LOG)
     while base < height(most):
-        tier = below.groupBy("tree", F.shiftright("k", BITS * TIER).alias("run")).applyInArrow(_build(base), LOG)
-        tier = materialize(tier, "nodes")
-        log, base = log.union(tier), base + TIER
-        below = tier.where(F.col("level") == base).select("tree", "k", "n", "digest")
+        nodes = below.groupBy("tree", F.shiftright("k", BITS * tier).alias("run")).applyInArrow(_build(base, tier), LOG)
+        nodes = materialize(nodes, "nodes")
+        log, base = log.union(nodes), base + tier
+        below = nodes.where(F.col("level") == base).select("tree", "k", "n", "digest")
     return log
 
 
@@ -174,42 +174,47 @@ def ways(log: DataFrame, starts: DataFrame) -> DataFrame:
     return met.groupBy("tree", "run").agg(F.sort_array(F.collect_list(F.struct("level", "own", "child", "digest"))).alias("way"))
 
 
-def _prove(rows: pa.Table, above: pa.Table) -> pa.Table:
+def _prove(tier: int):
     """For ``applyInArrow``: a run's stretch of the log, its leaves with ``order`` and ``tampered``, and the way above it."""
-    leaves = rows.filter(pc.is_valid(rows["tampered"])).sort_by("k")
-    if not leaves.num_rows:
-        return pa.table([leaves["tree"], leaves["order"], *[pa.array([], pa.binary())] * 3], names=["tree", "order", "leaf", "proof", "folded"])
-    log = dict(zip(rows["place"].to_pylist(), rows["digest"].to_pylist()))
-    n, first = leaves["n"][0].as_py(), leaves["k"][0].as_py()
-    levels: list[list[str]] = []  # the run's nodes of each level as hex text, in order
-    for level in range(min(TIER, height(n))):
-        ks = np.arange(first // FANOUT**level, -(-(first + leaves.num_rows) // FANOUT**level))
-        levels.append([log[place].hex() for place in node_place(level, ks, n).tolist()])
-    outer: list[tuple[int, list[str]]] = []  # per level above: the own child number and the siblings
-    way = above["way"][0].as_py() if above.num_rows else []
-    for level in sorted({w["level"] for w in way}):
-        found = [w for w in way if w["level"] == level]
-        outer.append((found[0]["own"], [w["digest"].hex() for w in found if w["child"] is not None]))
-    tail = "".join(d for _, siblings in outer for d in siblings)
-    digests, proofs, folded = leaves["digest"].to_pylist(), [], []
-    for at, (k, tampered) in enumerate(zip(leaves["k"].to_pylist(), leaves["tampered"].to_pylist())):
-        steps = []
-        for level, nodes in enumerate(levels):
-            own, start = (at >> BITS * level) % FANOUT, at >> BITS * (level + 1) << BITS
-            steps.append((own, nodes[start : start + own] + nodes[start + own + 1 : start + FANOUT]))
-        proofs.append(hashlib.sha256(("".join("".join(s) for _, s in steps) + tail).encode()).digest())
-        value = tampered.hex()
-        for own, siblings in [*steps, *outer]:
-            value = hashlib.sha256("".join([*siblings[:own], value, *siblings[own:]]).encode()).hexdigest()
-        folded.append(bytes.fromhex(value))
-    columns = [pa.array(c, pa.binary()) for c in (digests, proofs, folded)]
-    return pa.table([leaves["tree"], leaves["order"], *columns], names=["tree", "order", "leaf", "proof", "folded"])
-
-
-def manifest(rows: DataFrame, group: Column, order: Column, fields: list[Column], tampered: list[Column]) -> DataFrame:
+
+    def run(rows: pa.Table, above: pa.Table) -> pa.Table:
+        leaves = rows.filter(pc.is_valid(rows["tampered"])).sort_by("k")
+        if not leaves.num_rows:
+            return pa.table([leaves["tree"], leaves["order"], *[pa.array([], pa.binary())] * 3], names=["tree", "order", "leaf", "proof", "folded"])
+        log = dict(zip(rows["place"].to_pylist(), rows["digest"].to_pylist()))
+        n, first = leaves["n"][0].as_py(), leaves["k"][0].as_py()
+        levels: list[list[str]] = []  # the run's nodes of each level as hex text, in order
+        for level in range(min(tier, height(n))):
+            ks = np.arange(first // FANOUT**level, -(-(first + leaves.num_rows) // FANOUT**level))
+            levels.append([log[place].hex() for place in node_place(level, ks, n).tolist()])
+        outer: list[tuple[int, list[str]]] = []  # per level above: the own child number and the siblings
+        way = above["way"][0].as_py() if above.num_rows else []
+        for level in sorted({w["level"] for w in way}):
+            found = [w for w in way if w["level"] == level]
+            outer.append((found[0]["own"], [w["digest"].hex() for w in found if w["child"] is not None]))
+        tail = "".join(d for _, siblings in outer for d in siblings)
+        digests, proofs, folded = leaves["digest"].to_pylist(), [], []
+        for at, (k, tampered) in enumerate(zip(leaves["k"].to_pylist(), leaves["tampered"].to_pylist())):
+            steps = []
+            for level, nodes in enumerate(levels):
+                own, start = (at >> BITS * level) % FANOUT, at >> BITS * (level + 1) << BITS
+                steps.append((own, nodes[start : start + own] + nodes[start + own + 1 : start + FANOUT]))
+            proofs.append(hashlib.sha256(("".join("".join(s) for _, s in steps) + tail).encode()).digest())
+            value = tampered.hex()
+            for own, siblings in [*steps, *outer]:
+                value = hashlib.sha256("".join([*siblings[:own], value, *siblings[own:]]).encode()).hexdigest()
+            folded.append(bytes.fromhex(value))
+        columns = [pa.array(c, pa.binary()) for c in (digests, proofs, folded)]
+        return pa.table([leaves["tree"], leaves["order"], *columns], names=["tree", "order", "leaf", "proof", "folded"])
+
+    return run
+
+
+def manifest(rows: DataFrame, group: Column, order: Column, fields: list[Column], tampered: list[Column], tier: int = TIER) -> DataFrame:
     """(order, leaf, subroot, root, proof, folded): digests as bytes, for each row, named by its ``order`` value.
 
     ``fields`` make a row's leaf; ``tampered`` make the leaf that is folded, along the original siblings, up to ``folded``.
+    ``tier`` is the number of levels that one builder adds.
     """
     leaves = rows.select(group.alias("group"), order.alias("order"), leaf(*fields).alias("digest"), leaf(*tampered).alias("tampered"))
     leaves = numbered(leaves, ["group"], ["order", "digest"]).withColumnRenamed("index", "k")
@@ -217,16 +222,16 @@ def manifest(rows: DataFrame, group: Column, order: Column, fields: list[Column]
     trees = materialize(numbered(groups, ["one"], ["group"]).select(F.col("group").alias("_group"), F.col("index").alias("tree"), F.col("n").alias("trees")), "trees")
     leaves = leaves.join(trees, F.col("group").eqNullSafe(F.col("_group"))).select("tree", "k", "n", "order", "digest", "tampered")
     leaves = entries(materialize(leaves, "leaves"))
-    log = build(leaves)
+    log = build(leaves, tier)
     subroots = materialize(roots(log, leaves), "subroots")
     tops = subroots.join(trees, "tree").select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("k"), F.col("trees").alias("n"), F.col("root").alias("digest"))
     tops = entries(materialize(tops, "subroots"))
-    top_log = build(tops)
+    top_log = build(tops, tier)
     root = roots(top_log, tops).first()  # one row, or none of an empty table
 
     # above each run: the siblings within its tree, then those of its subroot
-    runs = leaves.where(F.col("k") % RUN == 0).select("tree", F.shiftright("k", BITS * TIER).alias("run"), "n")
-    within = ways(log.where(F.col("level") >= TIER), runs.select("*", F.col("run").alias("k"), F.lit(TIER).alias("lowest")))
+    runs = leaves.where(F.col("k") % (1 << BITS * tier) == 0).select("tree", F.shiftright("k", BITS * tier).alias("run"), "n")
+    within = ways(log.where(F.col("level") >= tier), runs.select("*", F.col("run").alias("k"), F.lit(tier).alias("lowest")))
     top_entries = top_log.select("tree", "place", "digest").union(tops.select("tree", "place", "digest"))
     beyond = ways(top_entries, tops.select("tree", F.col("k").alias("run"), "k", "n", F.lit(0).alias("lowest")))
     raised = F.transform("way", lambda w: w.withField("level", w["level"] + UPPER))
@@ -236,11 +241,11 @@ def manifest(rows: DataFrame, group: Column, order: Column, fields: list[Column]
     above = above.select("tree", "run", F.concat(F.coalesce("way", nothing), F.coalesce("beyond", nothing)).alias("way"))
 
     columns = ["tree", "run", "k", "n", "place", "digest", "order", "tampered"]
-    run_of = F.call_function("shiftright", F.col("k"), F.lit(BITS * TIER) - F.lit(BITS) * F.col("level"))
-    stretch = log.where(F.col("level") < TIER).withColumn("run", run_of)
+    run_of = F.call_function("shiftright", F.col("k"), F.lit(BITS * tier) - F.lit(BITS) * F.col("level"))
+    stretch = log.where(F.col("level") < tier).withColumn("run", run_of)
     stretch = stretch.withColumn("order", F.lit(None).cast(leaves.schema["order"].dataType)).withColumn("tampered", F.lit(None).cast("binary"))
-    stretch = stretch.select(*columns).union(leaves.withColumn("run", F.shiftright("k", BITS * TIER)).select(*columns))
+    stretch = stretch.select(*columns).union(leaves.withColumn("run", F.shiftright("k", BITS * tier)).select(*columns))
     result = f"tree long, order {leaves.schema['order'].dataType.simpleString()}, leaf binary, proof binary, folded binary"
-    proven = stretch.groupBy("tree", "run").cogroup(above.groupBy("tree", "run")).applyInArrow(_prove, result)
+    proven = stretch.groupBy("tree", "run").cogroup(above.groupBy("tree", "run")).applyInArrow(_prove(tier), result)
     found = proven.join(subroots.withColumnRenamed("root", "subroot"), "tree")
     return found.select("order", "leaf", "subroot", F.lit(bytes(root.root) if root else None).cast("binary").alias("root"), "proof", "folded")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import chat, decontam, langid, licenses, linededup, merkle, negatives, packing, pii, quality, simhash, topk
+from silverlode.llm import chat, decontam, langid, licenses, linededup, merkle, negatives, packing, pii, quality, simhash, topk, wrappers
 from silverlode.llm.common import ascii_lower, id_remainder
 from silverlode.session import materialize, tune
 
@@ -91,6 +91,10 @@ def op12_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.hard_negatives(read(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
 
 
+def op13_html(spark: SparkSession, folder: str) -> DataFrame:
+    return wrappers.main_texts(read(spark, folder, "pages"))
+
+
 OP1_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS x
@@ -199,6 +203,6 @@ def _merkle_sql(levels: int = 8) -> str:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_topk, op2_simhash, op3_line_dedup, op4_language, op5_licenses, op6_packing, op7_quality, op8_pii, op9_chat, op10_decontam, op11_merkle, op12_negatives)
+    f.__name__: f for f in (op1_topk, op2_simhash, op3_line_dedup, op4_language, op5_licenses, op6_packing, op7_quality, op8_pii, op9_chat, op10_decontam, op11_merkle, op12_negatives, op13_html)
 }
 ORACLE_SQL: dict[str, str] = {"op1_topk": OP1_SQL, "op3_line_dedup": OP3_SQL, "op11_merkle": _merkle_sql(), "op12_negatives": OP12_SQL}

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from silverlode.llm import merkle, negatives
+from silverlode.llm import merkle, negatives, wrappers
 
 
 # 11
@@ -133,3 +133,87 @@ def test_scores_by_tables_are_inner_products():
     for bits in (1, 2, 9, 20):
         x, a = (rng.integers(-(1 << bits - 1), 1 << bits - 1, (n, 24)) for n in (50, 7))
         assert (negatives.scores_of(negatives.planes_of(x, bits), negatives.subset_sums(a, np.int64)) == a @ x.T).all()
+
+
+# 13
+def _trees_match(a, b):
+    """Simple tree matching by trying every ordered choice of pairs."""
+    if a.label != b.label:
+        return 0
+
+    def most(x, y):
+        if not x or not y:
+            return 0
+        return max(most(x[1:], y), most(x, y[1:]), (_trees_match(x[0], y[0]) + most(x[1:], y[1:])) if x[0].label == y[0].label else 0)
+
+    return 1 + most(a.kids, b.kids)
+
+
+def test_tree_matching_equals_brute_force():
+    rng = random.Random(13)
+
+    def tree(depth):
+        return wrappers.Slot(rng.choice("ab") if depth < 3 else "r", 0, kids=[tree(depth - 1) for _ in range(rng.randrange(4))] if depth else [])
+
+    for _ in range(200):
+        a, b = tree(3), tree(3)
+        assert wrappers.matching(a, b) == _trees_match(a, b)
+        nodes = sum(1 for _ in a.walk()) + sum(1 for _ in b.walk())
+        pairs = wrappers.matching(a, b)
+        wrappers.merge(a, b)
+        # every node is there once; folding neighbours of one label can only pair more
+        assert sum(1 for _ in a.walk()) <= nodes - pairs and a.pages == 2
+
+
+def _sentences(rng, n):
+    return [" ".join(rng.choice(["alpha", "beta", "gämma", "delta", "the", "of"]) + str(rng.randrange(99)) for _ in range(rng.randrange(5, 25))) + "." for _ in range(n)]
+
+
+def _page(rng, style, k):
+    """(html, main text) of a page of a host whose template is ``style``."""
+    body = _sentences(rng, rng.randrange(1, 9))
+    title = f"Title {k} &amp; more"
+    noise = _sentences(rng, 3)
+    menu = "".join(f'<a href="/{rng.randrange(9)}">Item {rng.randrange(99)}</a>' for _ in range(6))
+    want = [f"Title {k} & more", *body]
+    cut = "".join(f"<p>{s.replace(' ', ' &nbsp;', 1)}" + ("</p>" if rng.random() < 0.5 else "") for s in body)
+    if style == "semantic":
+        html = f"<html><head><title>x</title><style>p{{}}</style></head><body><nav><ul><li>{menu}</ul></nav><article><header><h1>{title}</h1></header>{cut}<div class=share>Share this</div><section id='comments'><article class=comment><p>{noise[0]}</article></section></article><aside>{noise[1]}</aside><footer>{noise[2]}</footer></body></html>"
+    elif style == "classes":
+        html = f'<body class="has-sidebar"><div id="page-header"><p>Site</p></div><div class="wrap"><div class="post-body"><h1>{title}</h1>{cut}</div><div class="right-sidebar"><p>{noise[0]}</p></div></div><div class="cookieNotice">We use cookies</div><form><input>Search <button>Go</button></form><script>var a="<p>no</p>";</script></body>'
+    elif style == "plain":  # nothing is named: links, size and constancy tell
+        html = f"<body><div>{menu}</div><div><h1>{title}</h1>{cut}<p>Read our newsletter every day for more.</p></div><div><p>Impressum and terms</p></div></body>"
+    else:  # tables
+        html = f"<table><tr><td>{menu}<td><h1>{title}</h1>{cut}<p class='ad-box'>{noise[0]}</p></table><!-- <p>off</p> --><p hidden>{noise[1]}"
+    return html, " ".join(want)
+
+
+def test_main_texts_of_generated_hosts(spark):
+    rng = random.Random(31)
+    rows, want = [], {}
+    for style in ("semantic", "classes", "plain", "tables"):
+        for k in range(40):
+            page = len(rows)
+            html, want[page] = _page(rng, style, k)
+            rows.append((page, f"https://User@{style}.example.org:80/{k}?q=1", html))
+    copy = rows[5]
+    rows += [(1000 + k, copy[1], copy[2]) for k in range(20)]  # copies are no evidence
+    want |= {1000 + k: want[5] for k in range(20)}
+    odd = [None, "", "plain text", "<p>cut of", "<", "<p>" + "long " * 40_000, "<div>" * 3000 + "deep", "<b>" * 3000 + "x", '<p class="']
+    rows += [(2000 + k, None, h) for k, h in enumerate(odd)]
+    want |= dict(zip(range(2000, 2009), ["", "", "plain text", "cut of", "<", ("long " * 40_000).strip(), "deep", "x", ""]))
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, url string, html string, host string, wrapper int").repartition(7)
+    got = {r.page_id: (r.text, r.n_chars) for r in wrappers.main_texts(df).collect()}
+    assert {k: t for k, (t, _) in got.items()} == want
+    assert all(n == len(t) for t, n in got.values())
+    assert wrappers.main_texts(df.limit(0)).count() == 0
+    assert wrappers.main_texts(df.where("page_id IS NULL OR page_id < 3").union(df.where("page_id = 1"))).count() == 4
+
+
+def test_decisions_do_not_depend_on_the_split(spark):
+    """The same texts whether a host's pages come in one part or in many."""
+    rng = random.Random(32)
+    rows = [(k, f"http://h{k % 2}.org/{k}", _page(rng, ("plain", "classes")[k % 2], k)[0]) for k in range(60)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = [sorted(tuple(r) for r in wrappers.main_texts(df.repartition(n)).collect()) for n in (1, 13)]
+    assert got[0] == got[1]

@@ -74,20 +74,32 @@ def stream_to_gold(
 
 
 def windowed(
-    rows: DataFrame, at: str, width: str, amount: str | None = None, distinct: dict[str, str] | None = None
+    rows: DataFrame, at: str, width: str, amount: str | None = None, distinct: dict[str, str] | None = None, late: str = LATE
 ) -> DataFrame:
-    """Tumbling counts, sums and distinct counts of a batch or stream frame.
+    """Tumbling counts, sums and exact distinct counts, the same of a batch frame and of a stream.
 
-    Distinct counts are exact in a batch and approximate in a stream, which
-    cannot keep every value it has seen.
+    Distinct counts take two aggregations, one per window and value and one per window.  On a stream that is two stateful steps
+    one after the other, whose state is bounded by the watermark; a window is given out once the watermark has passed it.
     """
-    source = rows.withWatermark(at, LATE) if rows.isStreaming else rows
-    count = F.approx_count_distinct if rows.isStreaming else F.count_distinct
-    measures = [F.count(F.lit(1)).alias("records")]
+    source = rows.withWatermark(at, late) if rows.isStreaming else rows
+    distinct = distinct or {}
+    money = rows.select(F.sum(amount).alias("s")).schema["s"].dataType if amount else None
+    # a row for the counts and sums, and one for each column whose values are counted
+    kinds = [F.struct(F.lit("").alias("of"), F.lit(None).cast("string").alias("value"))]
+    kinds += [F.struct(F.lit(alias).alias("of"), F.col(column).cast("string").alias("value")) for alias, column in distinct.items()]
+    source = source.withColumn("_kind", F.explode(F.array(*kinds))) if distinct else source.withColumn("_kind", kinds[0])
+    own = F.col("_kind.of") == ""
+    parts = [F.count_if(own).alias("_n")]
     if amount:
-        measures += [F.sum(amount).alias("revenue"), (F.sum(amount).cast("double") / F.count(amount)).alias("avg_value")]
-    measures += [count(column).alias(alias) for alias, column in (distinct or {}).items()]
-    grouped = source.groupBy(F.window(at, width).alias("_w")).agg(*measures)
+        parts += [F.sum(F.when(own, F.col(amount))).alias("_sum"), F.count(F.when(own, F.col(amount))).alias("_filled")]
+    found = source.groupBy(F.window(at, width).alias("_w"), F.col("_kind.of").alias("_of"), F.col("_kind.value").alias("_value")).agg(*parts)
+    measures = [F.sum("_n").alias("records")]
+    if amount:
+        total = F.sum("_sum").cast(money)
+        measures += [total.alias("revenue"), (total.cast("double") / F.sum("_filled")).alias("avg_value")]
+    measures += [F.count_if((F.col("_of") == alias) & F.col("_value").isNotNull()).alias(alias) for alias in distinct]
+    again = F.window(F.window_time("_w"), width) if rows.isStreaming else F.col("_w")
+    grouped = found.groupBy(again.alias("_w")).agg(*measures)
     return grouped.select(F.col("_w.start").alias("window_start"), *[c for c in grouped.columns if c != "_w"])
 
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from silverlode.llm import merkle, negatives, wrappers
+from silverlode.llm import merkle, negatives, simhash, wrappers
 
 
 # 11
@@ -217,3 +217,52 @@ def test_decisions_do_not_depend_on_the_split(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = [sorted(tuple(r) for r in wrappers.main_texts(df.repartition(n)).collect()) for n in (1, 13)]
     assert got[0] == got[1]
+
+
+# 2, whole near-duplicates
+def _mutated(rng, words, share):
+    return [f"other{rng.randrange(10**6)}" if rng.random() < share else w for w in words]
+
+
+def test_near_duplicates_equal_brute_force_around_the_limit(spark):
+    """Pairs whose five-word Jaccard similarity lies around 0.8: each is linked if and only if it reaches 0.8."""
+    rng = random.Random(21)
+    texts = {}
+    for k in range(150):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([60, 200, 600]))]
+        texts[2 * k] = " ".join(words)
+        texts[2 * k + 1] = " ".join(_mutated(rng, words, rng.uniform(0.005, 0.09)))
+    sets = {k: frozenset(simhash.shingle_set(t, 5).tolist()) for k, t in texts.items()}
+    df = spark.createDataFrame([(k, t, 0) for k, t in texts.items()], "doc_id long, text string, component_id int").repartition(5)
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(df).collect()}
+    alike = {k: len(sets[2 * k] & sets[2 * k + 1]) / len(sets[2 * k] | sets[2 * k + 1]) for k in range(150)}
+    linked = {k: got[2 * k + 1] == 2 * k for k in range(150)}
+    assert not [k for k in range(150) if linked[k] and alike[k] < 0.8]
+    reach = [k for k in range(150) if alike[k] >= 0.8]
+    assert sum(linked[k] for k in reach) >= 0.98 * len(reach) and 40 < len(reach) < 110
+    assert all(got[2 * k] == 2 * k for k in range(150))
+
+
+def test_near_duplicates_of_a_hot_group(spark, monkeypatch):
+    """Chains through rows that the smallest one is not similar to; copies, texts without words and repeated ids."""
+    monkeypatch.setattr(simhash, "BLOCK", 16)
+    rng = random.Random(22)
+    base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+    chain, words = [], base
+    for k in range(12):  # neighbours are similar, ends are not
+        chain.append(" ".join(words))
+        words = [f"c{k}x{i}" if 20 * k <= i < 20 * k + 12 else w for i, w in enumerate(words)]
+    texts = [*chain, *chain[:3], *[" ".join(_mutated(rng, base, 0.01)) for _ in range(60)], "", None, " ", "one two", "two one"]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(0, chain[0]), (None, chain[0])]
+    got = {}
+    for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert got.setdefault(r.doc_id, r.component_id) == r.component_id
+    assert None not in got and set(got) == set(range(len(texts)))
+    sets = [frozenset(simhash.shingle_set(t, 5).tolist()) for t in texts]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if (not sets[i] and not sets[j]) or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) > 0:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    assert [got[k] for k in range(len(texts))] == label

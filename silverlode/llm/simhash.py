@@ -18,7 +18,9 @@ Rows of a key are compared in sorted blocks: first along ring chains of words, t
 rows are dealt out as pairs of blocks, so that no task holds a whole hot key.  A block's linked rows are reported as a
 star, not as pairs.
 
-Results: null text and text without words have fingerprint zero, linked like any other; equal texts have equal
+``near_duplicates`` takes fingerprints only as a search for candidates and decides each by its shingle sets.
+
+Results: texts of any length are read whole; null text and text without words have fingerprint zero, linked like any other; equal texts have equal
 fingerprints and are one node; repeated rows return as often as they came; an empty table gives an empty table.
 """
 
@@ -180,18 +182,38 @@ def _stars(keys: np.ndarray, nodes: np.ndarray, marks: np.ndarray, budget: int)
     return nodes[far], nodes[label[far]]
 
 
-def _links_in_order(budget: int, words: int):
+def _open_pairs(keys: np.ndarray, nodes: np.ndarray, marks: np.ndarray, open_rows: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
+    """Like ``_stars``, but all linked pairs of which one is open: (larger node, smaller node)."""
+    left, right = [nodes[:0]], [nodes[:0]]
+    i, d = np.arange(len(keys)), 1
+    while True:
+        i = i[i < len(keys) - d]
+        i = i[keys[i] == keys[i + d]]
+        if not len(i):
+            break
+        part = i[open_rows[i] | open_rows[i + d]]
+        for part in np.array_split(part, len(part) // 500_000 + 1):
+            part = part[_linked(marks, part, part + d, budget)]
+            left.append(nodes[part + d])
+            right.append(nodes[part])
+        d += 1
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _links_in_order(budget: int, words: int, only_open: bool = False):
     """For ``mapInArrow`` over rows (key, node, f0, ...) sorted by key and node: the last key of a batch waits for the next batch."""
+    width = 2 + words + only_open
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] | None = None
 
         def out(columns: list[np.ndarray]) -> pa.RecordBatch:
-            a, b = _stars(columns[0], columns[1], np.stack([c.view(np.uint64) for c in columns[2:]], axis=1), budget)
+            marks = np.stack([c.view(np.uint64) for c in columns[2 : 2 + words]], axis=1)
+            a, b = _open_pairs(*columns[:2], marks, columns[-1], budget) if only_open else _stars(*columns[:2], marks, budget)
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(2 + words)]
+            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(width)]
             if kept is not None:
                 columns = [np.concatenate(x) for x in zip(kept, columns)]
             if not len(columns[0]):
@@ -206,12 +228,15 @@ def _links_in_order(budget: int, words: int):
     return run
 
 
-def links(marks: DataFrame, words: int, masks: list[list[int]], budget: int) -> DataFrame:
-    """Node pairs (a, b) that join all linked rows of ``marks`` (node, f0, ...; one row per fingerprint) sharing a key."""
+def links(marks: DataFrame, words: int, masks: list[list[int]], budget: int, only_open: bool = False) -> DataFrame:
+    """Node pairs (a, b) that join all linked rows of ``marks`` (node, f0, ...; one row per fingerprint) sharing a key.
+
+    ``only_open``: all linked pairs in which the column ``open`` holds for one row at least.
+    """
     if any(m.count(0) == len(m) for m in masks):
         raise ValueError("a key without bits would compare all rows")
-    cols = names(words)
-    keys = F.array(*[F.xxhash64(F.lit(k), *[F.col(c).bitwiseAND(F.lit(_signed(m))) for c, m in zip(cols, mask) if m]) for k, mask in enumerate(masks)])
+    cols = [*names(words), *(["open"] if only_open else [])]
+    keys = F.array(*[F.xxhash64(F.lit(k), *[F.col(c).bitwiseAND(F.lit(_signed(m))) for c, m in zip(names(words), mask) if m]) for k, mask in enumerate(masks)])
     rows = marks.select(F.explode(keys).alias("key"), "node", *cols)
     counts = rows.groupBy("key").count().where(F.col("count") > BLOCK)
     hot = materialize(counts.select("key", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "hotkeys")
@@ -220,7 +245,7 @@ def links(marks: DataFrame, words: int, masks: list[list[int]], budget: int) ->
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda p: F.struct(F.least(own, p).alias("x"), F.greatest(own, p).alias("y")))
     dealt = rows.join(hot, "key").select("key", F.explode(meets).alias("at"), "node", *cols)
     dealt = dealt.select(F.xxhash64("key", "at.x", "at.y").alias("key"), "node", *cols).repartition("key").sortWithinPartitions("key", "node")
-    run = _links_in_order(budget, words)
+    run = _links_in_order(budget, words, only_open)
     return plain.mapInArrow(run, "a long, b long").union(dealt.mapInArrow(run, "a long, b long")).distinct()
 
 
@@ -241,14 +266,85 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int
 
 
 #: Wide fingerprints for whole near-duplicates: 256 bits over five-word shingles.  Shingle sets with Jaccard similarity
-#: 0.8 have a cosine of about 0.89, so that 15 % of the bits (39 of 256) differ on average; 48 leaves room for chance.
-WIDE = {"shingle": 5, "words": 4, "budget": 48}
+#: 0.8 have a cosine of about 0.89, so that 15 % of the bits (39 of 256, give or take 6) differ; 64 lets all of them pass.
+WIDE = {"shingle": 5, "words": 4, "budget": 64}
 KEY_BITS, KEYS = 16, 96
+SIMILAR = 0.8
+
+
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text, shingle))
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Similarity of two shingle sets; two empty ones are alike."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
+
+
+def _wide_marks(docs: DataFrame) -> DataFrame:
+    """(doc_id, same, f0, ...) of rows (doc_id, text): ``same`` is 128 bits of the shingle set."""
+    cols, words, shingle = names(WIDE["words"]), WIDE["words"], WIDE["shingle"]
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("same", T.StringType()), *[T.StructField(n, T.LongType()) for n in cols]])
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        same, marks = [], []
+        for text in texts_of(batch, "text"):
+            hashes = shingle_hashes(text, shingle)
+            same.append(xxhash.xxh3_128_hexdigest(np.unique(hashes).astype("<u8").tobytes()))
+            marks.append([majority(_mixed(hashes, w)) for w in range(words)] if len(hashes) else [0] * words)
+        marks = np.array(marks, np.uint64).reshape(-1, words)
+        return record_batch(schema, [batch.column(0), same, *[np.ascontiguousarray(marks[:, w]).view(np.int64) for w in range(words)]])
+
+    return docs.mapInArrow(per_slice("text", work), schema)
+
+
+def _similar(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b, alike) for each pair of ids: whether the shingle sets of their texts (doc_id, text) are SIMILAR, counted exactly."""
+    shingle = WIDE["shingle"]
+
+    def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [shingle_set(t, shingle).astype("<u8").tobytes() for t in texts_of(batch, "text")]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["node", "shingles"])
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = [[np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(k)] for k in (2, 3)]
+            alike = [jaccard(x, y) >= SIMILAR for x, y in zip(*sides)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(alike, pa.bool_())], names=["a", "b", "alike"])
+
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    texts = docs.join(asked, docs.doc_id == asked.node, "left_semi")
+    held = texts.mapInArrow(per_slice("text", sets), "node long, shingles binary").groupBy("node").agg(F.min("shingles").alias("shingles"))
+    held = materialize(held, "shingles")
+    left = held.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
+    right = held.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
+    met = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
+    return materialize(met.mapInArrow(compared, "a long, b long, alike boolean"), "compared")
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and component_id of documents whose five-word shingles are similar at 0.8 or more, exact copies included."""
-    return groups(docs, id, text, masks=sampled_keys(WIDE["words"], KEY_BITS, KEYS), **WIDE).select("doc_id", "component_id")
+    """doc_id and component_id of the rows with an id; links are pairs whose five-word shingle sets have Jaccard similarity SIMILAR or more.
+
+    Texts with the same shingle set are one node, named by its smallest id.  The rows of a key that are within the budget
+    of each other are first compared with the smallest of them.  A row that is not similar to that one is compared with
+    every row within the budget.  No link is taken from bits alone, and a group of copies makes no pairs.  Of rows that repeat an id, the smallest set counts.
+    """
+    rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id IS NOT NULL")
+    cols, masks = names(WIDE["words"]), sampled_keys(WIDE["words"], KEY_BITS, KEYS)
+    marked = materialize(_wide_marks(rows), "fingerprints")
+    marks = materialize(marked.groupBy("same").agg(F.min(F.struct("doc_id", *cols)).alias("m")).select("same", F.col("m.doc_id").alias("node"), *[f"m.{c}" for c in cols]), "marks")
+    stars = materialize(links(marks.select("node", *cols), WIDE["words"], masks, WIDE["budget"]), "candidates")
+    first = _similar(stars, rows)
+    # whoever is not similar to the smallest row of a key meets all others there
+    apart = first.where(~F.col("alike")).select(F.col("a").alias("node")).distinct()
+    open_marks = marks.select("node", *cols).join(apart.withColumn("open", F.lit(True)), "node", "left").withColumn("open", F.coalesce("open", F.lit(False)))
+    others = links(open_marks, WIDE["words"], masks, WIDE["budget"], only_open=True)
+    others = others.join(first.select("a", "b"), ["a", "b"], "left_anti")
+    second = _similar(materialize(others, "candidates"), rows)
+    labels = components(first.union(second).where("alike").select("a", "b"))
+    placed = marks.select("same", "node").join(labels, "node", "left").select("same", F.coalesce("label", "node").alias("component_id"))
+    return marked.join(placed, "same").select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

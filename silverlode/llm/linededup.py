@@ -1,15 +1,18 @@
 """Boilerplate lines: those that too large a share of a host's pages carry.
 
 For each host, the pages that hold a line are divided by the host's pages, and a line is dropped where that ratio is over
-``ratio`` and at least ``least`` pages hold it.  Pages are counted by their text: a page that was fetched again, or a copy
-of it, is no further evidence, so a group of copies does not lose its lines.
+``ratio`` and at least ``least`` pages hold it.  Pages are counted by class.  Every page has two marks, its sentences'
+smallest digest in one order and in another; pages with the same first mark are of one class, and so are classes whose
+smallest second marks are the same.  Copies are of one class.  Of a group of n near copies that differ in a share c of
+their sentences, about 4 c c n fall out of the class, and no more count as pages of their own: a group of copies or near
+copies does not lose its lines.  Pages that share a template have fewer classes, but for the line and for the host alike.
 
 Lines are compared without surrounding white space and with inner runs of it as one space; a line without other
 characters is never counted or dropped.  Line counts are combined before the shuffle, and what is passed to a page is its
 host's list of dropped lines: as ratios of one page sum up to its number of lines, a host has at most (mean lines per
 page) / ``ratio`` of them, however many pages it has.
 
-Results: a null text stays null with 0 lines; an empty text stays empty; a null host is a host of its own; repeated rows
+Results: texts of any length are read whole; a null text stays null with 0 lines; an empty text stays empty; a null host is a host of its own; repeated rows
 count once and all stay; an empty table gives an empty table.
 """
 
@@ -38,11 +41,26 @@ def line_keys(text: Column) -> Column:
     return F.array_distinct(F.transform(F.filter(normal_lines(text), lambda x: x != ""), lambda x: F.xxhash64(x)))
 
 
+def page_marks(text: Column) -> list[Column]:
+    """The smallest digest of a text's sentences (of all of it, if it has none) by its first and by its second half."""
+    sentences = F.filter(F.transform(F.split(text, r"[\n.!?]"), lambda x: F.trim(x)), lambda x: F.length(x) > 0)
+    digests = F.transform(F.when(F.size(sentences) > 0, sentences).otherwise(F.array(text)), lambda x: F.md5(x))
+    return [F.array_min(digests), F.array_min(F.transform(digests, lambda x: F.substring(x, 17, 16)))]
+
+
 def dropped_lines(pages: DataFrame, host: Column, text: Column, ratio: float = RATIO, least: int = LEAST) -> DataFrame:
     """(host, lines): the keys of the normalised lines that ``host`` carries on over ``ratio`` of its pages."""
-    seen = pages.select(host.alias("host"), F.xxhash64(text).alias("same"), line_keys(text).alias("keys")).distinct()
-    hosts = seen.groupBy("host").agg(F.count("keys").alias("pages"))
-    lines = seen.select("host", F.explode("keys").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    first, second = page_marks(text)
+    marks = pages.where(text.isNotNull()).select(host.alias("host"), first.alias("first"), second.alias("second"))
+    marks = marks.groupBy("host", F.xxhash64("first").alias("first")).agg(F.xxhash64(F.min("second")).alias("class"))
+    classes = materialize(marks, "classes")
+    hosts = classes.select("host", "class").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    # a row per host, first mark and line, then per host, class and line: each combined before its shuffle
+    # (marks are worked out in a step of their own: beside explode() they would be again for every line)
+    held = pages.select(host.alias("host"), F.xxhash64(first).alias("first"), line_keys(text).alias("keys")).select("host", "first", F.explode("keys").alias("line")).distinct()
+    named = classes.withColumnsRenamed({"host": "_host", "first": "_first"})
+    held = held.join(named, (F.col("first") == F.col("_first")) & F.col("host").eqNullSafe(F.col("_host"))).select("host", "class", "line").distinct()
+    lines = held.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     often = lines.join(hosts, lines.host.eqNullSafe(hosts.host)).where(F.col("n") > F.col("pages") * ratio).select(lines.host, "line")
     return materialize(often.groupBy("host").agg(F.collect_set("line").alias("lines")), "boilerplate")
 

@@ -120,11 +120,16 @@ _NORMAL = r"trim(regexp_replace(x, '[\x09-\x0D\x20]+', ' ', 'g'))"
 OP3_SQL = f"""
 WITH p AS (
   SELECT page_id, lower(nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '')) AS host, {_HTML} AS text FROM pages
-), seen AS (SELECT DISTINCT host, text FROM p WHERE text IS NOT NULL),
-hosts AS (SELECT host, count(*) AS pages FROM seen GROUP BY host),
+), seen AS (
+  SELECT host, text, min(second) OVER (PARTITION BY host, first) AS class
+  FROM (SELECT host, text, list_min(digests) AS first, list_min(list_transform(digests, lambda x: substr(x, 17, 16))) AS second
+    FROM (SELECT host, text, list_transform(CASE WHEN len(s) > 0 THEN s ELSE [text] END, lambda x: md5(x)) AS digests
+      FROM (SELECT host, text, list_filter(list_transform(string_split_regex(text, '[\\n.!?]'), lambda x: trim(x)), lambda x: x <> '') AS s
+        FROM (SELECT DISTINCT host, text FROM p WHERE text IS NOT NULL))))
+), hosts AS (SELECT host, count(DISTINCT class) AS pages FROM seen GROUP BY host),
 lines AS (
-  SELECT host, line, count(*) AS n
-  FROM (SELECT host, unnest(list_distinct(list_transform(string_split(text, chr(10)), lambda x: {_NORMAL}))) AS line FROM seen)
+  SELECT host, line, count(DISTINCT class) AS n
+  FROM (SELECT host, class, unnest(list_distinct(list_transform(string_split(text, chr(10)), lambda x: {_NORMAL}))) AS line FROM seen)
   WHERE line <> '' GROUP BY host, line
 ), bad AS (
   SELECT l.host, list(l.line) AS lines FROM lines l JOIN hosts h ON l.host IS NOT DISTINCT FROM h.host

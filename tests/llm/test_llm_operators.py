@@ -135,12 +135,15 @@ def test_line_dedup_equals_plain_python(spark):
     import hashlib
     import re
 
-    digest = lambda x: hashlib.md5(x.encode()).hexdigest()
-    kind = lambda t: min((digest(s.strip(" ")) for s in re.split(r"[\n.!?]", t) if s.strip(" ")), default=digest(t))
+    def marks(t):
+        digests = [hashlib.md5(x.encode()).hexdigest() for x in [s.strip(" ") for s in re.split(r"[\n.!?]", t) if s.strip(" ")] or [t]]
+        return min(digests), min(d[16:] for d in digests)
+
     for page, host, text in rows:
-        seen = {t for _, h, t in rows if h == host and t is not None}
-        pages = len({kind(t) for t in seen})
-        often = lambda x: norm(x) and (n := len({kind(t) for t in seen if norm(x) in map(norm, t.split("\n"))})) >= 3 and n > 0.3 * pages
+        seen = {t: marks(t) for _, h, t in rows if h == host and t is not None}
+        kind = {t: min(second for first, second in seen.values() if first == seen[t][0]) for t in seen}
+        pages = len(set(kind.values()))
+        often = lambda x: norm(x) and (n := len({kind[t] for t in seen if norm(x) in map(norm, t.split("\n"))})) >= 3 and n > 0.3 * pages
         assert got[page] == (None if text is None else "\n".join(x for x in text.split("\n") if not often(x)))
     assert linededup.without_boilerplate(df.limit(0), F.col("host")).count() == 0
 

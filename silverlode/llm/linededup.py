@@ -51,13 +51,13 @@ def page_marks(text: Column) -> list[Column]:
 def dropped_lines(pages: DataFrame, host: Column, text: Column, ratio: float = RATIO, least: int = LEAST) -> DataFrame:
     """(host, lines): the keys of the normalised lines that ``host`` carries on over ``ratio`` of its pages."""
     first, second = page_marks(text)
-    marks = pages.where(text.isNotNull()).select(host.alias("host"), first.alias("first"), second.alias("second"))
-    marks = marks.groupBy("host", F.xxhash64("first").alias("first")).agg(F.xxhash64(F.min("second")).alias("class"))
-    classes = materialize(marks, "classes")
+    # what is needed of each text, worked out and written once
+    marked = pages.where(text.isNotNull()).select(host.alias("host"), F.xxhash64(first).alias("first"), second.alias("second"), line_keys(text).alias("keys"))
+    marked = materialize(marked, "marks")
+    classes = marked.groupBy("host", "first").agg(F.xxhash64(F.min("second")).alias("class"))
     hosts = classes.select("host", "class").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     # a row per host, first mark and line, then per host, class and line: each combined before its shuffle
-    # (marks are worked out in a step of their own: beside explode() they would be again for every line)
-    held = pages.select(host.alias("host"), F.xxhash64(first).alias("first"), line_keys(text).alias("keys")).select("host", "first", F.explode("keys").alias("line")).distinct()
+    held = marked.select("host", "first", F.explode("keys").alias("line")).distinct()
     named = classes.withColumnsRenamed({"host": "_host", "first": "_first"})
     held = held.join(named, (F.col("first") == F.col("_first")) & F.col("host").eqNullSafe(F.col("_host"))).select("host", "class", "line").distinct()
     lines = held.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= least)

@@ -23,7 +23,7 @@ from silverlode.operators.dims import enrich_location
 from silverlode.operators.history import transitions
 from silverlode.session import materialize
 from silverlode.sources.files import read_source
-from silverlode.sources.tables import BUCKET, Layer, TableMoved
+from silverlode.sources.tables import BUCKET, Layer
 
 RUN_LOG, STATISTICS, ALERTS, DEAD_LETTERS, RECONCILIATION, BATCHES = (
     "ingest_run", "dq_run_statistics", "alerts", "dead_letter", "reconciliation_log", "batch",
@@ -51,8 +51,6 @@ class RunResult:
     error: str | None = None
     counts: dict[str, int] = field(default_factory=dict)
     seconds: dict[str, float] = field(default_factory=dict)
-    # The version of each table that the batch built on.
-    bases: dict[str, int] = field(default_factory=dict)
 
 
 def side_by_side(*tasks: Callable[[], object]) -> list:
@@ -62,16 +60,6 @@ def side_by_side(*tasks: Callable[[], object]) -> list:
     return [f.result() for f in futures]
 
 
-def _until_current(phase: Callable[[], object]) -> None:
-    """Run a phase, and anew if another batch published its table meanwhile."""
-    while True:
-        try:
-            phase()
-            return
-        except TableMoved:
-            continue
-
-
 def one_row_per_key(source: Source, rules: Sequence[Rule]) -> list[Rule]:
     """``rules``, and those that reject missing and repeated keys where the source's entity has none."""
     key, known = source.keys[0], {(r.kind, r.column) for r in rules}
@@ -112,7 +100,7 @@ class Medallion:
         return self.spark.createDataFrame([], ddl).schema
 
     def next_run_id(self) -> int:
-        """The number after the last logged one; a run reserves its own, so overlapping runs never share one."""
+        """The number after the last logged one.  Runs of several sources at the same time are given theirs by whoever starts them."""
         return self._known_run("")[2] + 1
 
     def _known_run(self, batch_id: str) -> tuple[bool, int | None, int]:
@@ -156,17 +144,17 @@ class Medallion:
 
     def run_files(
         self, source_name: str, root: str, file: str | None = None, *, now: datetime | None = None,
-        batch_id: str | None = None, strict: bool = False,
+        batch_id: str | None = None, strict: bool = False, run_id: int | None = None,
     ) -> RunResult:
         source = self.catalog.source(source_name)
         return self.run_rows(
             source, lambda: read_source(self.spark, source, root, file, strict), now=now,
-            batch_id=batch_id or new_batch_id(source.ingestion), strict=strict,
+            batch_id=batch_id or new_batch_id(source.ingestion), strict=strict, run_id=run_id,
         )
 
     def run_rows(
         self, source: Source, read: Callable[[], DataFrame], *, batch_id: str, now: datetime | None = None,
-        strict: bool = False,
+        strict: bool = False, run_id: int | None = None,
     ) -> RunResult:
         """All three phases over text rows.  A batch id that already succeeded is not run again.
 
@@ -174,11 +162,10 @@ class Medallion:
         wins, and never replaces a newer stored one.
         """
         moment = _moment(now)
-        done, run_id, last = self._known_run(batch_id)
+        done, known, last = self._known_run(batch_id)
         if done:
-            return RunResult(batch_id, source.name, run_id, status="SKIPPED")
-        run_id = run_id or self.layer.reserve(batch_id, last)
-        result = RunResult(batch_id, source.name, run_id)
+            return RunResult(batch_id, source.name, known, status="SKIPPED")
+        result = RunResult(batch_id, source.name, known or run_id or last + 1)
         at = F.lit(moment).cast("timestamp_ntz")
         phases = (
             ("STAGE_TO_BRONZE", lambda: self._to_bronze(source, read(), result, at, strict)),
@@ -188,7 +175,7 @@ class Medallion:
         for name, phase in phases:
             started = time.monotonic()
             try:
-                _until_current(phase)
+                phase()
             except Exception as error:
                 result.seconds[name] = time.monotonic() - started
                 result.status, result.failed_phase, result.error = "FAILED", name, str(error)
@@ -217,9 +204,16 @@ class Medallion:
         streaming = source.ingestion == "STREAM"
         if streaming:
             rules = [r for r in rules if r.kind != "DUPLICATE_ALLOW_ONE_CHECK"]
+        self._finish_silver(source)
+        if self.layer.is_published(target.silver, result.batch_id):
+            # an earlier attempt came this far, or was carried on by the batch after it
+            figures = self.layer.read(STATISTICS).where((F.col("ingest_run_id") == result.ingest_run_id) & (F.col("entity") == source.entity)).first()
+            result.counts["valid_rows"], result.counts["invalid_rows"] = figures["total_valid_rows"], figures["total_invalid_rows"]
+            counts = self._silver_figures(result)
+            result.counts.update(self.layer.staged(target.silver, result.batch_id).agg(*[c.alias(n) for n, c in counts.items()]).first().asDict())
+            return
         staged = bronze.stage(self.layer.read(target.bronze), result.ingest_run_id).select(*source.names, EVENT_TS)
         references = _References(self.layer)
-        base = result.bases[target.silver] = self.layer.base(target.silver, result.batch_id)
         validated = quality.validate(staged, rules, key, references).persist()
         try:
             figures = quality.statistics(validated, rules, result.ingest_run_id)
@@ -229,19 +223,31 @@ class Medallion:
             errors = quality.error_rows(validated, key, result.ingest_run_id)
             good = quality.valid_rows(validated).select(*source.names, EVENT_TS)
             # All of these read Silver as it was; it is published after they have ended.
-            staged = side_by_side(
-                lambda: self._stage_silver(source, good, result, now),
+            side_by_side(
                 lambda: self._stage_transitions(source, good, result, now),
+                lambda: self._stage_silver(source, good, result, now),
                 lambda: self.layer.replace_partitions(errors, target.errors, ["ingest_run_id"]),
-                lambda: self.layer.replace_partitions(stats, STATISTICS, ["ingest_run_id"]),
-            )
-            self.layer.publish(
-                target.silver, result.batch_id, base, lambda: self._publish_silver(source, staged[0], staged[1])
+                lambda: self.layer.replace_partitions(stats, STATISTICS, ["entity", "ingest_run_id"]),
             )
+            self.layer.mark_ready(target.silver, result.batch_id)
+            self._finish_silver(source)
         finally:
             validated.unpersist()
 
-    def _stage_silver(self, source: Source, good: DataFrame, result: RunResult, now: Column) -> DataFrame:
+    def _finish_silver(self, source: Source) -> None:
+        """Publish what is ready, of whichever batch: its rows and, where statuses are logged, its transitions."""
+        layer, silver = self.layer, source.target.silver
+        for batch_id in layer.unpublished(silver):
+            changes = layer.staged(self._history(source), batch_id) if source.entity in STATUS_COLUMNS else None
+            self._publish_silver(source, layer.staged(silver, batch_id), changes)
+            layer.mark_published(silver, batch_id)
+
+    @staticmethod
+    def _silver_figures(result: RunResult) -> dict[str, Column]:
+        mine, first = F.col("batch_id") == result.batch_id, F.col("created_at") == F.col("updated_at")
+        return {"silver_inserted": F.count_if(mine & first), "silver_updated": F.count_if(mine & ~first)}
+
+    def _stage_silver(self, source: Source, good: DataFrame, result: RunResult, now: Column) -> None:
         target, keys, layer = source.target, source.merge_on, self.layer
         newest_by = None
         if source.ingestion == "STREAM":
@@ -254,16 +260,12 @@ class Medallion:
             after = old.unionByName(merge.append_absent(old, batch, keys))
         else:
             after = merge.upsert(old, batch, keys, newest_by=newest_by)
-        mine, first = F.col("batch_id") == result.batch_id, F.col("created_at") == F.col("updated_at")
-        figures = {"silver_inserted": F.count_if(mine & first), "silver_updated": F.count_if(mine & ~first)}
-        staged, counts = layer.stage(after, target.silver, result.batch_id, figures, result.bases[target.silver])
-        result.counts.update(counts)
-        return staged
+        result.counts.update(layer.stage(after, target.silver, result.batch_id, self._silver_figures(result))[1])
 
-    def _stage_transitions(self, source: Source, good: DataFrame, result: RunResult, now: Column) -> DataFrame | None:
+    def _stage_transitions(self, source: Source, good: DataFrame, result: RunResult, now: Column) -> None:
         """Every status change of the batch, also those that only the latest row per key survives."""
         if source.entity not in STATUS_COLUMNS:
-            return None
+            return
         status, key, silver = STATUS_COLUMNS[source.entity], source.keys[0], source.target.silver
         timed = good.withColumn(EVENT_TS, F.coalesce(F.col(EVENT_TS), now))
         last = None
@@ -276,7 +278,7 @@ class Medallion:
                 F.col("_stored_ts").isNull() | (F.col(EVENT_TS) >= F.col("_stored_ts"))
             ).drop("_stored_ts")
         changes = transitions(timed, key, status, EVENT_TS, [status], last).withColumn("batch_id", F.lit(result.batch_id))
-        return self.layer.stage(changes, self._history(source), result.batch_id, base=result.bases[silver])[0]
+        self.layer.stage(changes, self._history(source), result.batch_id)
 
     def _history(self, source: Source) -> str:
         return f"{source.target.gold}_status_history"
@@ -291,13 +293,19 @@ class Medallion:
         """Version the rows this batch put into Silver.
 
         Open versions live in ``<gold>/status=ACTIVE`` by key bucket; expired ones are
-        only ever added, in a partition of their batch, so history is not rewritten.
+        only ever added, in one partition of their batch, so history is not rewritten.
         """
         layer, gold, keys = self.layer, source.target.gold, source.keys
         if result.counts.get("source_rows") == 0:
             return
-        base = layer.base(gold, result.batch_id)
-        batch = layer.staged(source.target.silver, result.batch_id, result.bases[source.target.silver]).where(F.col("batch_id") == result.batch_id)
+        self._finish_gold(gold)
+        new, gone = F.count_if((F.col("batch_id") == result.batch_id) & (F.col("status") == "ACTIVE")), F.count_if(F.col("status") == "INACTIVE")
+        figures = {"new": new, "expired": gone}
+        if layer.is_published(gold, result.batch_id):
+            counts = layer.staged(gold, result.batch_id).agg(*[c.alias(n) for n, c in figures.items()]).first()
+            result.counts["gold_inserted"], result.counts["gold_updated"] = counts["new"] - counts["expired"], counts["expired"]
+            return
+        batch = layer.staged(source.target.silver, result.batch_id).where(F.col("batch_id") == result.batch_id)
         batch = batch.select(*source.silver_names).withColumn(BUCKET, layer.bucket_of(keys))
         shape = scd2.new_versions(
             batch.withColumn("row_hash", F.lit("")).withColumn("scd_action", F.lit("INSERT")), batch_id=result.batch_id, now=now
@@ -309,28 +317,41 @@ class Medallion:
         after = scd2.apply_changes(active, changes, keys, batch_id=result.batch_id, now=now)
         expired = F.col("status") == "INACTIVE"
         after = after.withColumn("expired_by", F.when(expired, F.lit(result.batch_id)).otherwise("open"))
-        figures = {"new": F.count_if((F.col("batch_id") == result.batch_id) & ~expired), "expired": F.count_if(expired)}
-        staged, counts = layer.stage(after, gold, result.batch_id, figures, base)
-        layer.publish(
-            gold, result.batch_id, base, lambda: layer.replace_partitions(staged, gold, ["status", "expired_by", BUCKET])
-        )
+        counts = layer.stage(after, gold, result.batch_id, figures)[1]
+        layer.mark_ready(gold, result.batch_id)
+        self._finish_gold(gold)
         result.counts["gold_inserted"] = counts["new"] - counts["expired"]
         result.counts["gold_updated"] = counts["expired"]
 
-    # ---- recovery ----------------------------------------------------------------------
+    def _finish_gold(self, gold: str) -> None:
+        """Publish what is ready, of whichever batch.  Expired rows need no bucket: they are never looked up by key."""
+        for batch_id in self.layer.unpublished(gold):
+            staged = self.layer.staged(gold, batch_id)
+            staged = staged.withColumn(BUCKET, F.when(F.col("status") == "INACTIVE", -1).otherwise(F.col(BUCKET)))
+            self.layer.replace_partitions(staged, gold, ["status", "expired_by", BUCKET])
+            self.layer.mark_published(gold, batch_id)
 
-    def reconcile(self, source_name: str, batch_id: str, run_id: int, now: datetime | None = None) -> DataFrame:
-        """Compare the layers' counts for one batch and log both steps."""
-        from silverlode.plans.operations import reconcile_counts
+    # ---- recovery ----------------------------------------------------------------------
 
+    def reconcile(self, source_name: str, batch_id: str, run_id: int, now: datetime | None = None, known: Mapping[str, int] | None = None) -> DataFrame:
+        """Compare the layers' counts for one batch and log both steps; a run's own figures (``known``) save reading the layers."""
         target, layer = self.catalog.source(source_name).target, self.layer
+        if known is not None:
+            figures = [known.get("source_rows", 0), *[known.get(f"{x}_inserted", 0) + known.get(f"{x}_updated", 0) for x in ("silver", "gold")]]
+            counts = self.spark.createDataFrame([figures], "bronze bigint, silver bigint, gold bigint")
+            return self._log_reconciled(counts, source_name, batch_id, now)
         counts = layer.read(target.bronze).where(F.col("ingest_run_id") == run_id).agg(F.count(F.lit(1)).alias("bronze"))
         for name, table in (("silver", target.silver), ("gold", target.gold)):
             rows = layer.read(table).where(F.col("batch_id") == batch_id)
             counts = counts.withColumn(name, rows.agg(F.count(F.lit(1))).scalar())
+        return self._log_reconciled(counts, source_name, batch_id, now)
+
+    def _log_reconciled(self, counts: DataFrame, source_name: str, batch_id: str, now: datetime | None) -> DataFrame:
+        from silverlode.plans.operations import reconcile_counts
+
         counts = counts.select(F.lit(source_name).alias("pipeline_name"), F.lit(batch_id).alias("batch_id"), "*")
         logged = reconcile_counts(counts).withColumn("reconciled_at", F.lit(_moment(now)).cast("timestamp_ntz"))
-        layer.append(logged, RECONCILIATION)
+        self.layer.append(logged, RECONCILIATION)
         return logged
 
     def run_with_recovery(self, source_name: str, root: str, file: str | None = None, **options) -> RunResult:
@@ -347,7 +368,7 @@ class Medallion:
             self.layer.append(alert, ALERTS)
             return result
         if result.status == "SUCCESS":
-            self.reconcile(source_name, result.batch_id, result.ingest_run_id, options.get("now"))
+            self.reconcile(source_name, result.batch_id, result.ingest_run_id, options.get("now"), result.counts)
         return result
 
     def _bury(self, source: Source, root: str, file: str | None, result: RunResult, now: datetime) -> None:

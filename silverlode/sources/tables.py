@@ -1,22 +1,17 @@
 """Layer tables as partitioned parquet, with repeatable writes.
 
-There is no table format here: plain directories, dynamic partition overwrite, and
-two rules.  A change is first written whole to a staging folder named after its batch
-and the version of the table it was computed from; publishing only copies staged
-partitions over the table's.  And a table is published by the batch that claims the
-version after the one it read: a batch that finds another version there computes its
-change anew, so that no other batch's rows are overwritten.  A batch that repeats its
-own last publish finds its staging folder and publishes the same rows again.  On a
-catalog with row-level operations use ``operators.merge.merge_into_catalog`` instead.
+There is no table format here: plain directories and dynamic partition overwrite.  A table has one writer: batches of a
+source run one after another (a scheduler's job, as is who runs).  What can end half-way is a publish.  So a batch first
+writes its result whole to a staging folder and then copies the staged partitions over the table's; whoever comes next, the
+same batch again or another one, finds a result that is staged and not published yet, and publishes it before anything
+else is computed.  Where several writers share a table use ``operators.merge.merge_into_catalog`` on a catalog with
+row-level operations.
 """
 
 from __future__ import annotations
 
-import hashlib
-import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,22 +19,14 @@ from pyspark.sql import types as T
 BUCKET = "key_bucket"
 
 
-class TableMoved(RuntimeError):
-    """Another batch published a table since this batch read it."""
-
-
-def _mark(owner: str) -> str:
-    return hashlib.sha256(owner.encode()).hexdigest()[:32]
+_READY, _PUBLISHED = "_READY", "_PUBLISHED"
 
 
 class Layer:
-    """Tables below one root folder: ``<root>/<table>``, staging below ``<root>/_staging``.
-
-    A publish whose driver died counts as ended after ``patience`` seconds; until then others wait for it.
-    """
+    """Tables below one root folder: ``<root>/<table>``, staging below ``<root>/_staging/<table>/<batch>``."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 16, patience: int = 300):
-        self.spark, self.root, self.buckets, self.patience = spark, root.rstrip("/"), buckets, patience
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -58,16 +45,6 @@ class Layer:
         files, hadoop_path = self._files(folder)
         return [s.getPath().getName() for s in files.listStatus(hadoop_path)] if files.exists(hadoop_path) else []
 
-    def _create(self, path: str) -> bool:
-        """Create an empty file unless there is one; of several that try, one succeeds."""
-        files, hadoop_path = self._files(path)
-        try:
-            return files.createNewFile(hadoop_path)
-        except Py4JJavaError:
-            if files.exists(hadoop_path):
-                return False
-            raise
-
     def _delete(self, path: str) -> None:
         files, hadoop_path = self._files(path)
         files.delete(hadoop_path, True)
@@ -78,55 +55,6 @@ class Layer:
     def exists(self, table: str) -> bool:
         return self._exists(self.path(table))
 
-    def reserve(self, owner: str, after: int) -> int:
-        """A run number above ``after`` that no other owner gets; an owner that asks again gets the same one."""
-        mine = f"{self.root}/_runs/owners/{_mark(owner)}"
-        taken = self._names(mine)
-        if taken:
-            return min(map(int, taken))
-        number = after + 1
-        while not self._create(f"{self.root}/_runs/numbers/{number}"):
-            number += 1
-        self._create(f"{mine}/{number}")
-        return number
-
-    # ---- versions ----------------------------------------------------------------------
-
-    def _version(self, table: str) -> tuple[int, set[str]]:
-        """The number of the last version, and the marks it has: who claimed it, and ``done``."""
-        names = [n.partition(".") for n in self._names(f"{self.root}/_versions/{table}")]
-        last = max((int(n[0]) for n in names), default=0)
-        return last, {n[2] for n in names if int(n[0]) == last and n[2]}
-
-    def base(self, table: str, batch_id: str) -> int:
-        """The version a batch builds on: the last one, or the one before if the batch itself made the last."""
-        waited = 0
-        while True:
-            last, marks = self._version(table)
-            if _mark(batch_id) in marks:
-                return last - 1
-            if not last or "done" in marks or waited >= self.patience:
-                return last
-            time.sleep(1)
-            waited += 1
-
-    def publish(self, table: str, batch_id: str, base: int, write: Callable[[], object]) -> None:
-        """Claim the version after ``base`` for the batch and write; raises TableMoved if another batch has it."""
-        folder, mine = f"{self.root}/_versions/{table}", _mark(batch_id)
-        last, marks = self._version(table)
-        again = last == base + 1 and mine in marks
-        if not again:
-            if last != base or not self._create(f"{folder}/{base + 1}"):
-                raise TableMoved(f"{table} was published by another batch after version {base}")
-            self._create(f"{folder}/{base + 1}.{mine}")
-        try:
-            write()
-        finally:
-            self._create(f"{folder}/{base + 1}.done")
-        for name in self._names(folder):
-            if int(name.partition(".")[0]) < base:
-                self._delete(f"{folder}/{name}")
-
     # ---- reads and writes --------------------------------------------------------------
 
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
@@ -153,31 +81,46 @@ class Layer:
         """Buckets a batch falls into: never more than ``buckets`` small numbers."""
         return [r[0] for r in batch.select(self.bucket_of(keys)).distinct().collect()]
 
-    def _staging(self, table: str, batch_id: str, base: int) -> str:
-        return f"{self.root}/_staging/{table}/{batch_id}/{base}"
+    # ---- staging -----------------------------------------------------------------------
+
+    def _staging(self, table: str, batch_id: str) -> str:
+        return f"{self.root}/_staging/{table}/{batch_id}"
+
+    def _mark(self, table: str, batch_id: str, name: str) -> None:
+        files, path = self._files(f"{self._staging(table, batch_id)}/{name}")
+        files.create(path, True).close()
+
+    def _marked(self, table: str, batch_id: str, name: str) -> bool:
+        return self._exists(f"{self._staging(table, batch_id)}/{name}")
+
+    def staged(self, table: str, batch_id: str) -> DataFrame:
+        return self.spark.read.parquet(self._staging(table, batch_id))
+
+    def mark_ready(self, table: str, batch_id: str) -> None:
+        """All that belongs to the batch's result is written; from now on it is published, not computed again."""
+        self._mark(table, batch_id, _READY)
+
+    def mark_published(self, table: str, batch_id: str) -> None:
+        self._mark(table, batch_id, _PUBLISHED)
 
-    def staged(self, table: str, batch_id: str, base: int = 0) -> DataFrame | None:
-        path = self._staging(table, batch_id, base)
-        return self.spark.read.parquet(path) if self._exists(f"{path}/_SUCCESS") else None
+    def is_published(self, table: str, batch_id: str) -> bool:
+        return self._marked(table, batch_id, _PUBLISHED)
 
-    def stage(
-        self, df: DataFrame, table: str, batch_id: str, figures: Mapping[str, Column] | None = None, base: int = 0
-    ) -> tuple[DataFrame, dict]:
-        """Write a batch's result whole, unless an earlier attempt on the same version finished doing so.
+    def unpublished(self, table: str) -> list[str]:
+        """Batches whose result for a table is ready, and not known to be published."""
+        batches = sorted(self._names(f"{self.root}/_staging/{table}"))
+        return [b for b in batches if self._marked(table, b, _READY) and not self.is_published(table, b)]
 
-        ``figures`` are aggregates of the result; they are observed by the write itself.
-        """
-        done = self.staged(table, batch_id, base)
+    def stage(self, df: DataFrame, table: str, batch_id: str, figures: Mapping[str, Column] | None = None) -> tuple[DataFrame, dict]:
+        """Write a batch's result whole; ``figures`` are aggregates of it, observed by the write itself."""
         measures = [column.alias(name) for name, column in (figures or {}).items()]
-        if done is not None:
-            return done, done.agg(*measures).first().asDict() if measures else {}
         if BUCKET in df.columns:
             # One writer per bucket: publishing then makes one file per bucket, not one per task and bucket.
             df = df.repartition(self.buckets, BUCKET)
-        seen, path = Observation(), self._staging(table, batch_id, base)
+        seen, path = Observation(), self._staging(table, batch_id)
         (df.observe(seen, *measures) if measures else df).write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path), seen.get if measures else {}
 
     def forget(self, table: str, batch_id: str) -> None:
         """Remove what a batch staged; only after the batch was logged as finished."""
-        self._delete(f"{self.root}/_staging/{table}/{batch_id}")
+        self._delete(self._staging(table, batch_id))

@@ -149,9 +149,46 @@ def test_repeat_keeps_what_another_batch_published(engine, tmp_path, monkeypatch
     assert rows(engine.layer.read("fact_order").where("status = 'ACTIVE'").select("order_id", "order_status")) == want
 
 
-def test_overlapping_runs_get_their_own_numbers(engine):
-    first = engine.layer.reserve("A", 0)
-    assert (first, engine.layer.reserve("B", 0), engine.layer.reserve("A", 0)) == (1, 2, 1)
+def test_a_batch_that_follows_a_crashed_publish_carries_it_on(engine, tmp_path, monkeypatch):
+    """Half of a publish, at most, is in the table when its driver dies; the next batch publishes the rest first."""
+    files = [write(tmp_path, "order_1.csv", FIRST), write(tmp_path, "order_2.csv", SECOND), write(tmp_path, "order_3.csv", [SECOND[0].replace("READY", "DELIVERED"), "O7,C9,1,2024-01-03 10:00:00,7.00,PLACED,UPI"])]
+    engine.run_files("ORDER_BATCH", "", files[0], now=DAY[0], batch_id="B1")
+    original = med.Layer.replace_partitions
+
+    def half(self, df, table, partition):
+        if table == "order_slv":
+            original(self, df.where("order_id <> 'O1'"), table, partition)
+            raise OSError("lost")
+        original(self, df, table, partition)
+
+    monkeypatch.setattr(med.Layer, "replace_partitions", half)
+    with pytest.raises(PhaseFailed):
+        engine.run_files("ORDER_BATCH", "", files[1], now=DAY[1], batch_id="B2")
+    monkeypatch.undo()
+    engine.run_files("ORDER_BATCH", "", files[2], now=DAY[2], batch_id="B3")
+    result = engine.run_files("ORDER_BATCH", "", files[1], now=DAY[3], batch_id="B2")
+    assert (result.counts["valid_rows"], result.counts["silver_inserted"], result.counts["silver_updated"]) == (3, 1, 2)
+    silver = {r.order_id: r.order_status for r in engine.layer.read("order_slv").collect()}
+    assert silver == {"O1": "DELIVERED", "O2": "PLACED", "O3": "PLACED", "O6": "PLACED", "O7": "PLACED"}
+    history = rows(engine.layer.read("fact_order_status_history").where("order_id = 'O1'").select("old_status", "new_status", "batch_id"))
+    assert history == [("PLACED", "READY", "B2"), ("READY", "DELIVERED", "B3"), (None, "PLACED", "B1")]
+    assert engine.layer.unpublished("order_slv") == engine.layer.unpublished("fact_order") == []
+
+
+def test_statistics_of_sources_with_one_run_number(engine, tmp_path):
+    header = "LOCATION_BRZ_ID,CITY,STATE,ZIP_CODE"
+    engine.run_files("ORDER_BATCH", "", write(tmp_path, "order_1.csv", FIRST), now=DAY[0], batch_id="B1", run_id=5)
+    engine.run_files("LOCATION_BATCH", "", write(tmp_path, "location_1.csv", ["1,Mumbai,Maharashtra,400001"], header), now=DAY[0], batch_id="L1", run_id=5)
+    assert rows(engine.layer.read("dq_run_statistics").select("entity", "total_valid_rows")) == [("location", 1), ("order", 3)]
+    assert engine.next_run_id() == 6
+
+
+def test_expired_versions_of_a_batch_are_one_partition(engine, tmp_path):
+    engine.run_files("ORDER_BATCH", "", write(tmp_path, "order_1.csv", FIRST), now=DAY[0], batch_id="B1")
+    changed = [line.replace("placed", "ready").replace("Placed", "ready").replace("PLACED", "ready") for line in FIRST[:3]]
+    engine.run_files("ORDER_BATCH", "", write(tmp_path, "order_2.csv", changed), now=DAY[1], batch_id="B2")
+    gone = engine.layer.read("fact_order").where("status = 'INACTIVE'")
+    assert rows(gone.select("expired_by", "key_bucket").distinct()) == [("B2", -1)] and gone.count() == 3
 
 
 def test_repeated_and_missing_keys_do_not_multiply(engine, tmp_path):

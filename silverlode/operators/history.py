@@ -21,8 +21,9 @@ def transitions(
     """One row per status change: entity, old_status, new_status, status_changed_at.
 
     ``last_known`` (entity, status) seeds the old status of each entity's first event.
+    An entity is an order or a delivery, whose events are the few steps of its life: a plain window holds them.
     """
-    sequence = with_features(events, [entity], [changed_at, *ties], [lag("_old", status), lag("_seen", changed_at)])
+    sequence = with_features(events, [entity], [changed_at, *ties], [lag("_old", status), lag("_seen", changed_at)], bounded=True)
     if last_known is not None:
         known = last_known.select(entity, F.col(status).alias("_known"))
         sequence = sequence.join(known, entity, "left").withColumn(

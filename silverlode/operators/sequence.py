@@ -111,15 +111,18 @@ def _plain(df: DataFrame, keys: Sequence[str], order: Sequence[str], features: S
 
 
 def with_features(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], features: Sequence[Feature], bounded: bool = False
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], features: Sequence[Feature], bounded: bool = False,
+    facts: DataFrame | None = None,
 ) -> DataFrame:
     """Add ordered per-key features.  ``order`` should end in a unique tie-breaker.
 
     Unless ``bounded``, the first order column is a date or timestamp, all of them ascend, and lag and lead reach one row.
+    ``facts`` are the rows of ``df`` before they were widened: segments are summed up from these, so that what
+    widened ``df`` is worked out once.
     """
     if bounded:
         return _plain(df, list(keys), order, features)
-    return _segmented(df, list(keys), order, features)
+    return _segmented(df, list(keys), order, features, df if facts is None else facts)
 
 
 def _segment(df: DataFrame, column: str) -> Column:
@@ -131,7 +134,7 @@ def _segment(df: DataFrame, column: str) -> Column:
     raise ValueError(f"{column!r} is no date or timestamp to cut keys by; use an aggregation, or bounded keys")
 
 
-def _segmented(df: DataFrame, keys: list[str], order: Sequence[str], features: Sequence[Feature]) -> DataFrame:
+def _segmented(df: DataFrame, keys: list[str], order: Sequence[str], features: Sequence[Feature], facts: DataFrame) -> DataFrame:
     near = [f for f in features if f.kind in ("lag", "lead")]
     if any(" " in item for item in order) or any(f.kind == "moving" for f in features) or any(f.rows != 1 for f in near):
         raise ValueError("descending orders, moving averages and distant rows are for bounded keys")
@@ -152,7 +155,7 @@ def _segmented(df: DataFrame, keys: list[str], order: Sequence[str], features: S
         measures.append(F.max_by(F.struct(*behind), place).alias("_last"))
     if ahead:
         measures.append(F.min_by(F.struct(*ahead), place).alias("_first"))
-    summary = rows.groupBy(*keys, _SEG).agg(*measures)
+    summary = facts.withColumn(_SEG, _segment(facts, order[0])).groupBy(*keys, _SEG).agg(*measures)
 
     along = Window.partitionBy(*keys).orderBy(_SEG)
     before, whole = along.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*keys)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from silverlode.functions import buckets
 from silverlode.functions.scalar import as_date, boundary_diff, digits_to_int, div0, mean, mean_of, percent
 from silverlode.operators.dims import calendar_columns
-from silverlode.operators.joins import current, group_totals, lookup, with_totals
+from silverlode.operators.joins import current, lookup, with_totals
 from silverlode.operators.sequence import (
     lag,
     lead,
@@ -170,9 +170,13 @@ def order_fulfillment(t: Tables) -> DataFrame:
         digits_to_int("estimated_time").alias("estimated_delivery_time_mins"),
         boundary_diff("minute", "created_at", "updated_at").alias("delivery_processing_time_mins"),
     )
-    joined = orders.join(deliveries, "order_id", "left").withColumn("_day", F.to_date("delivery_date"))
+    deliveries = deliveries.withColumn("_day", F.to_date("delivery_date"))
+    joined = orders.join(deliveries, "order_id", "left")
     # Current versions hold each delivery once, so the count per agent and day is a distinct count.
-    loaded = group_totals(joined, ["delivery_agent_id", "_day"], F.count("delivery_id").alias("agent_deliveries_same_day"))
+    # Deliveries of unknown orders are not among the rows, and not in the agent's load.
+    known = deliveries.join(orders.select("order_id"), "order_id", "left_semi")
+    loaded = with_totals(joined, known, ["delivery_agent_id", "_day"], F.count("delivery_id").alias("agent_deliveries_same_day"))
+    loaded = loaded.fillna(0, ["agent_deliveries_same_day"])
     named = lookup(loaded, current(t["dim_customer"]), "customer_id", ["customer_name"])
     restaurants = lookup(current(t["dim_restaurant"]), current(t["dim_location"]), "location_id", ["city"]).select(
         "restaurant_id",
@@ -236,6 +240,7 @@ def order_payment(t: Tables) -> DataFrame:
             row_number("payment_method_use_count"),
             total("customer_avg_order_value_by_payment", "avg", "total_amount"),
         ],
+        facts=orders,
     )
     # Restaurants may be hot, so their figures come from an aggregate that is joined back.
     by_restaurant = (
@@ -332,8 +337,9 @@ TIMED_STATUSES = ["PENDING", "CONFIRMED", "PREPARING", "READY", "OUT_FOR_DELIVER
 
 
 def order_status_analysis(t: Tables) -> DataFrame:
+    # the history of one order is the few steps of its life
     steps = with_features(
-        t["order_history"], ["order_id"], ["status_changed_at", "new_status"], [lag("_before", "status_changed_at")]
+        t["order_history"], ["order_id"], ["status_changed_at", "new_status"], [lag("_before", "status_changed_at")], bounded=True
     ).withColumn("_minutes", boundary_diff("minute", "_before", "status_changed_at"))
     durations = steps.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("total_status_changes"),
@@ -387,13 +393,24 @@ def order_summary(t: Tables, parts: Collection[str] = ORDER_SUMMARY_PARTS) -> Da
         buckets.flag(status == "PENDING").alias("is_pending"),
         boundary_diff("minute", "created_at", "updated_at").alias("order_processing_time_mins"),
     )
+    deliveries = current(t["fact_delivery"])
+    if "numbers" in parts:
+        # An order has a row per delivery: its numbers follow from the rows of the orders before it, and its own come next.
+        narrow = current(t["fact_order"]).select("order_id", "order_date", "customer_id", "restaurant_id")
+        per_order = deliveries.groupBy("order_id").agg(F.count(F.lit(1)).alias("_rows"))
+        weigh = lambda df: df.join(per_order, "order_id", "left").fillna(1, ["_rows"]) if "delivery" in parts else df.withColumn("_rows", F.lit(1).cast("long"))
+        rows, narrow = weigh(rows), weigh(narrow)
+        for key in ("customer", "restaurant"):
+            rows = with_features(rows, [f"{key}_id"], ["order_date", "order_id"], [running(f"_{key}_rows", "sum", "_rows")], facts=narrow)
     if "delivery" in parts:
-        deliveries = current(t["fact_delivery"]).select(
+        deliveries = deliveries.select(
             "order_id", "delivery_id", "delivery_agent_id", "delivery_date", "delivery_status",
             digits_to_int("estimated_time").alias("estimated_delivery_time_mins"),
         )
         actual, estimate = F.col("actual_delivery_time_mins"), F.col("estimated_delivery_time_mins")
         delivered = F.col("delivery_status") == "DELIVERED"
+        if "numbers" in parts:  # one order has few deliveries
+            deliveries = with_features(deliveries, ["order_id"], ["delivery_id"], [row_number("_nth")], bounded=True)
         rows = (
             rows.join(deliveries, "order_id", "left")
             .withColumn("actual_delivery_time_mins", boundary_diff("minute", "order_date", "delivery_date"))
@@ -401,9 +418,10 @@ def order_summary(t: Tables, parts: Collection[str] = ORDER_SUMMARY_PARTS) -> Da
             .withColumn("is_delivered", buckets.flag(delivered))
         )
     if "numbers" in parts:
-        order = ["order_date", "order_id", *(["delivery_id"] if "delivery" in parts else [])]
-        rows = with_features(rows, ["customer_id"], order, [row_number("customer_order_number")])
-        rows = with_features(rows, ["restaurant_id"], order, [row_number("restaurant_order_number")])
+        nth = F.coalesce("_nth", F.lit(1)) if "delivery" in parts else F.lit(1)
+        for key in ("customer", "restaurant"):
+            rows = rows.withColumn(f"{key}_order_number", (F.col(f"_{key}_rows") - F.col("_rows") + nth).cast("long"))
+        rows = rows.drop("_rows", "_nth", "_customer_rows", "_restaurant_rows")
     if "customer" in parts:
         customers = current(t["dim_customer"]).select(
             "customer_id", "customer_name", F.col("gender").alias("customer_gender"), "login_by_using", "dob"

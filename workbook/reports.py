@@ -100,13 +100,15 @@ def _(t):
 
 @case(
     "a12_cohort_matrix",
-    wrap(COHORT_SQL, "SELECT cohort_month, count(*) FILTER (months_since_first_order > 36) AS later_months, " + ", ".join(
+    wrap(COHORT_SQL, "SELECT cohort_month, coalesce(string_agg(months_since_first_order || ':' || cast(round(retention_rate * 1000000) AS bigint), ',' ORDER BY months_since_first_order) FILTER (months_since_first_order > 36), '') AS later, " + ", ".join(
         f"max(CASE WHEN months_since_first_order = {m} THEN retention_rate END) AS month_{m}" for m in range(37)
     ) + f" FROM mart WHERE cohort_month >= DATE '{D9_AS_OF}' - INTERVAL '6' MONTH GROUP BY 1"),
 )
 def _(t):
     matrix = r.cohort_matrix(customer_marts.customer_cohort(t), D9_AS_OF, last_month=36)
-    return matrix.withColumn("later_months", F.size("later").cast("long")).drop("later")
+    # the months beyond the last column, each with its rate in millionths
+    cell = lambda e: F.concat(e["key"].cast("string"), F.lit(":"), F.round(e["value"] * 1_000_000).cast("long").cast("string"))
+    return matrix.withColumn("later", F.array_join(F.transform(F.array_sort(F.map_entries("later")), cell), ","))
 
 
 @case(

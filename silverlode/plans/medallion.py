@@ -393,13 +393,13 @@ class Medallion:
         )
         self.layer.replace_partitions(letters, DEAD_LETTERS, ["batch_id"])
 
-    def retry_dead_letters(self, source_name: str, retries: Sequence[Retry], **options) -> RunResult:
-        """Run this engine's own due letters of a source again and store how they were settled."""
-        letters = self.layer.read(DEAD_LETTERS)
+    def retry_dead_letters(self, source_name: str, retries: Sequence[Retry], table: str = DEAD_LETTERS, **options) -> RunResult:
+        """Run this engine's own due letters of a source again and store how they were settled; ``table`` may be a stream's."""
+        letters = self.layer.read(table)
         mine = letters.where(F.col("pipeline_name") == source_name)
         result, queue = self.retry_letters(source_name, mine, retries, **options)
         # written first, as the table it comes from is replaced
-        self.layer.replace_partitions(materialize(queue, "settled"), DEAD_LETTERS, ["batch_id"])
+        self.layer.replace_partitions(materialize(queue, "settled"), table, ["batch_id"])
         return result
 
     def retry_letters(

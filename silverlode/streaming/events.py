@@ -104,10 +104,17 @@ def is_bad(entity: str) -> Column:
     return found.isNull()
 
 
-def bad_events(messages: DataFrame, entity: str, worker: str) -> DataFrame:
+def bad_events(messages: DataFrame, entity: str, worker: str, batch_id: str | None = None) -> DataFrame:
+    """Messages without payload or key.  With ``batch_id`` they are letters that a retry can read and settle, named by batch, partition and offset."""
     topic = F.col("topic")
     mine = topic.isNull() | (topic == TOPICS[entity])
+    place = [F.coalesce(F.col(c).cast("string"), F.lit("none")) for c in ("partition", "offset")]
+    letter = [] if batch_id is None else [
+        F.concat_ws("-", F.lit(batch_id), *place).alias("dlq_id"), F.col("kafka_timestamp").cast("timestamp_ntz").alias("created_at"),
+        F.lit(None).cast("timestamp_ntz").alias("last_retry_at"), F.lit(batch_id).alias("batch_id"),
+    ]
     return messages.where(mine & is_bad(entity)).select(
+        *letter,
         F.lit(worker).alias("pipeline_name"), F.coalesce(topic, F.lit("unknown")).alias("source_table"),
         F.col("value").alias("record_data"), F.lit("TRANSFORMATION").alias("error_type"),
         F.lit("message has no valid payload").alias("error_message"), F.lit(0).alias("retry_count"),

@@ -50,7 +50,7 @@ def run_batches(medallion: Medallion, source_name: str, stream_name: str) -> Cal
         try:
             if batch.isEmpty() or medallion.finished(batch_id):
                 return
-            bad = ev.bad_events(batch, source.entity, source_name).withColumn("batch_id", F.lit(batch_id))
+            bad = ev.bad_events(batch, source.entity, source_name, batch_id)
             medallion.layer.replace_partitions(bad, f"stream_{DEAD_LETTERS}", ["batch_id"])
             rows = ev.text_rows(ev.typed_events(batch, source.entity), source.names)
             medallion.run_rows(source, lambda: rows, batch_id=batch_id)

@@ -82,6 +82,24 @@ def test_bad_repeated_and_late_messages(spark, tmp_path):
     assert gold.where("order_id = 'O1'").count() == 1
 
 
+def test_letters_of_a_stream_are_run_again_and_settled(spark, tmp_path):
+    """A message whose text was mended in its letter reaches Gold; one that stays bad is counted as tried."""
+    from silverlode.config import Retry
+
+    write_files(tmp_path / "in", [[*LIFE[:4], message("orders-events", "x", "no json", 50), message("orders-events", "y", "", 51)]])
+    engine = run_stream(spark, tmp_path, "letters", tmp_path / "in", None)
+    table = f"stream_{jobs.DEAD_LETTERS}"
+    letters = engine.layer.read(table)
+    assert letters.count() == 2 and letters.select("dlq_id").distinct().count() == 2 and letters.where("last_retry_at IS NOT NULL").count() == 0
+    good = json.dumps({"order_id": "O99", "customer_id": "7", "restaurant_id": "3", "order_date": "2024-01-01 10:00:00", "total_amount": "5.00", "order_status": "PLACED", "payment_method": "UPI"})
+    mended = letters.withColumn("record_data", F.when(F.col("record_data") == "no json", good).otherwise(F.col("record_data")))
+    engine.layer.replace_partitions(spark.createDataFrame(mended.collect(), mended.schema), table, ["batch_id"])
+    result = engine.retry_dead_letters("ORDER_STREAM", [Retry("ALL", "TRANSFORMATION", 2, 300)], table, now=datetime(2024, 1, 3), batch_id="R1")
+    assert result.status == "SUCCESS" and engine.layer.read("fact_order").where("order_id = 'O99'").count() == 1
+    states = sorted((r.processing_status, r.retry_count) for r in engine.layer.read(table).collect())
+    assert states == [("PENDING", 1), ("RESOLVED", 1)]
+
+
 def test_delivered_again_epoch_changes_nothing(spark, tmp_path):
     write_files(tmp_path / "in", [LIFE])
     engine = run_stream(spark, tmp_path, "again", tmp_path / "in", 10)

@@ -37,7 +37,7 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     pages = read(spark, folder, "pages").select("page_id", linededup.host_of(F.col("url")).alias("host"), linededup.visible_lines(F.col("html")).alias("text"))
-    found = linededup.without_boilerplate(materialize(pages, "visible"), F.col("host"))
+    found = linededup.without_boilerplate(materialize(pages, "visible"), F.col("host"), unit=None)
     return found.select("page_id", "host", F.col("lines_before").cast("long").alias("lines_before"), F.col("lines_dropped").cast("long").alias("lines_dropped"), "text")
 
 
@@ -124,7 +124,7 @@ WITH p AS (
   SELECT host, text, min(second) OVER (PARTITION BY host, first) AS class
   FROM (SELECT host, text, list_min(digests) AS first, list_min(list_transform(digests, lambda x: substr(x, 17, 16))) AS second
     FROM (SELECT host, text, list_transform(CASE WHEN len(s) > 0 THEN s ELSE [text] END, lambda x: md5(x)) AS digests
-      FROM (SELECT host, text, list_filter(list_transform(string_split_regex(text, '[\\n.!?]'), lambda x: trim(x)), lambda x: x <> '') AS s
+      FROM (SELECT host, text, list_filter(list_transform(string_split(text, chr(10)), lambda x: {_NORMAL}), lambda x: x <> '') AS s
         FROM (SELECT DISTINCT host, text FROM p WHERE text IS NOT NULL))))
 ), hosts AS (SELECT host, count(DISTINCT class) AS pages FROM seen GROUP BY host),
 lines AS (

@@ -16,7 +16,7 @@ from workbook.views import with_views
 
 MODULES = (
     "customer", "delivery", "orders", "restaurant", "reports", "quality", "versions", "columns", "shapes",
-    "operations", "monitors", "sources", "streams", "comparisons",
+    "operations", "monitors", "sources", "streams", "comparisons", "endtoend",
 )
 
 # Reporting dates of the driver data: the order tables end in 2001, the event table in 2024.

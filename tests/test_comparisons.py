@@ -29,17 +29,15 @@ def test_dense_ranks(spark):
 
 def test_changed_swapped_missing_and_repeated_rows_are_found(spark):
     source = [(k, f"c{k % 7}", k % 5, None if k % 11 == 0 else "x") for k in range(400)] + [(500, "a", 1, "r")] * 300
-    target = [list(r) for r in source if r[0] != 13]
-    target[20][1], target[30][1] = target[30][1], "other"  # one changed; two columns that hash alike if order did not count
-    target[40] = [40, target[40][1], target[40][2], ""]
-    target += [[900, "new", 0, "x"]]
-    target.pop(next(i for i, r in enumerate(target) if r[0] == 500))
+    held = {r[0]: r for r in source if r[0] not in (13, 500)}
+    held[20], held[30] = (20, held[30][1], *held[20][2:]), (30, held[20][1], *held[30][2:])  # values of two rows exchanged
+    held[40] = (40, held[40][1], held[40][2], "")
+    target = [*held.values(), *[(500, "a", 1, "r")] * 299, (900, "new", 0, "x")]
     schema = "k long, c string, n long, t string"
-    a, b = (spark.createDataFrame([tuple(r) for r in x], schema).repartition(3) for x in (source, target))
+    a, b = (spark.createDataFrame(x, schema).repartition(3) for x in (source, target))
+    assert held[20] != source[20] and held[40] != source[40]
     got = rows(content.differing_rows(a, b, ["k"], ["k", "c", "n", "t"], buckets=16))
-    changed = [i for i in (20, 31, 40) if source[i] != tuple(next(r for r in target if r[0] == source[i][0]))]
-    ids = sorted({source[i][0] for i in changed})
-    want = [(k, side, "CHANGED", 1) for k in ids for side in ("SOURCE", "TARGET")]
+    want = [(k, side, "CHANGED", 1) for k in (20, 30, 40) for side in ("SOURCE", "TARGET")]
     assert got == sorted([*want, (13, "SOURCE", "MISSING_IN_TARGET", 1), (500, "SOURCE", "MISSING_IN_TARGET", 1), (900, "TARGET", "MISSING_IN_SOURCE", 1)], key=repr)
     assert content.differing_rows(a, a.repartition(7), ["k"], ["k", "c", "n", "t"]).count() == 0
 

@@ -178,12 +178,29 @@ def _stars(keys: np.ndarray, nodes: np.ndarray, marks: np.ndarray, budget: int)
         np.minimum.at(label, a, low)
         np.minimum.at(label, b, low)
         label = label[label]
+    if marks.shape[1] > 1:
+        label = _central(label, marks)
     far = np.flatnonzero(label != np.arange(len(keys)))
-    return nodes[far], nodes[label[far]]
+    return np.maximum(nodes[far], nodes[label[far]]), np.minimum(nodes[far], nodes[label[far]])
 
 
-def _open_pairs(keys: np.ndarray, nodes: np.ndarray, marks: np.ndarray, open_rows: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """Like ``_stars``, but all linked pairs of which one is open: (larger node, smaller node)."""
+def _central(label: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """For groups by ``label``: the row whose bits are nearest to those that most rows of the group have, as the group's label.
+
+    Of near copies of one text that is the text itself, to which all of them are similar, though they may not be to each other.
+    """
+    out = label.copy()
+    order = np.argsort(label, kind="stable")
+    for group in np.split(order, np.flatnonzero(np.diff(label[order])) + 1):
+        if len(group) > 2:
+            bits = np.unpackbits(np.ascontiguousarray(marks[group]).view(np.uint8), axis=1)
+            most = bits.sum(axis=0, dtype=np.int64) * 2 > len(group)
+            out[group] = group[(bits != most).sum(axis=1).argmin()]
+    return out
+
+
+def _open_pairs(keys: np.ndarray, nodes: np.ndarray, marks: np.ndarray, open_rows: np.ndarray, labels: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
+    """All linked pairs with different labels of which one is open: (larger node, smaller node)."""
     left, right = [nodes[:0]], [nodes[:0]]
     i, d = np.arange(len(keys)), 1
     while True:
@@ -191,7 +208,7 @@ def _open_pairs(keys: np.ndarray, nodes: np.ndarray, marks: np.ndarray, open_row
         i = i[keys[i] == keys[i + d]]
         if not len(i):
             break
-        part = i[open_rows[i] | open_rows[i + d]]
+        part = i[(open_rows[i] | open_rows[i + d]) & (labels[i] != labels[i + d])]
         for part in np.array_split(part, len(part) // 500_000 + 1):
             part = part[_linked(marks, part, part + d, budget)]
             left.append(nodes[part + d])
@@ -202,14 +219,14 @@ def _open_pairs(keys: np.ndarray, nodes: np.ndarray, marks: np.ndarray, open_row
 
 def _links_in_order(budget: int, words: int, only_open: bool = False):
     """For ``mapInArrow`` over rows (key, node, f0, ...) sorted by key and node: the last key of a batch waits for the next batch."""
-    width = 2 + words + only_open
+    width = 2 + words + 2 * only_open
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] | None = None
 
         def out(columns: list[np.ndarray]) -> pa.RecordBatch:
             marks = np.stack([c.view(np.uint64) for c in columns[2 : 2 + words]], axis=1)
-            a, b = _open_pairs(*columns[:2], marks, columns[-1], budget) if only_open else _stars(*columns[:2], marks, budget)
+            a, b = _open_pairs(*columns[:2], marks, *columns[-2:], budget) if only_open else _stars(*columns[:2], marks, budget)
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
@@ -231,11 +248,11 @@ def _links_in_order(budget: int, words: int, only_open: bool = False):
 def links(marks: DataFrame, words: int, masks: list[list[int]], budget: int, only_open: bool = False) -> DataFrame:
     """Node pairs (a, b) that join all linked rows of ``marks`` (node, f0, ...; one row per fingerprint) sharing a key.
 
-    ``only_open``: all linked pairs in which the column ``open`` holds for one row at least.
+    ``only_open``: all linked pairs in which the column ``open`` holds for one row at least and ``label`` differs.
     """
     if any(m.count(0) == len(m) for m in masks):
         raise ValueError("a key without bits would compare all rows")
-    cols = [*names(words), *(["open"] if only_open else [])]
+    cols = [*names(words), *(["open", "label"] if only_open else [])]
     keys = F.array(*[F.xxhash64(F.lit(k), *[F.col(c).bitwiseAND(F.lit(_signed(m))) for c, m in zip(names(words), mask) if m]) for k, mask in enumerate(masks)])
     rows = marks.select(F.explode(keys).alias("key"), "node", *cols)
     counts = rows.groupBy("key").count().where(F.col("count") > BLOCK)
@@ -327,8 +344,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     """doc_id and component_id of the rows with an id; links are pairs whose five-word shingle sets have Jaccard similarity SIMILAR or more.
 
     Texts with the same shingle set are one node, named by its smallest id.  The rows of a key that are within the budget
-    of each other are first compared with the smallest of them.  A row that is not similar to that one is compared with
-    every row within the budget.  No link is taken from bits alone, and a group of copies makes no pairs.  Of rows that repeat an id, the smallest set counts.
+    of each other are first compared with the central one of them.  A row that is not similar to that one is compared with
+    every row within the budget that is not joined with it by then.  No link is taken from bits alone, and a group of copies makes no pairs.  Of rows that repeat an id, the smallest set counts.
     """
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id IS NOT NULL")
     cols, masks = names(WIDE["words"]), sampled_keys(WIDE["words"], KEY_BITS, KEYS)
@@ -336,9 +353,11 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     marks = materialize(marked.groupBy("same").agg(F.min(F.struct("doc_id", *cols)).alias("m")).select("same", F.col("m.doc_id").alias("node"), *[f"m.{c}" for c in cols]), "marks")
     stars = materialize(links(marks.select("node", *cols), WIDE["words"], masks, WIDE["budget"]), "candidates")
     first = _similar(stars, rows)
-    # whoever is not similar to the smallest row of a key meets all others there
-    apart = first.where(~F.col("alike")).select(F.col("a").alias("node")).distinct()
+    # whoever is not similar to the central row of a key meets those there that are not joined with it yet
+    joined = components(first.where("alike").select("a", "b"))
+    apart = first.where(~F.col("alike")).select(F.explode(F.array("a", "b")).alias("node")).distinct()
     open_marks = marks.select("node", *cols).join(apart.withColumn("open", F.lit(True)), "node", "left").withColumn("open", F.coalesce("open", F.lit(False)))
+    open_marks = open_marks.join(joined, "node", "left").withColumn("label", F.coalesce("label", "node"))
     others = links(open_marks, WIDE["words"], masks, WIDE["budget"], only_open=True)
     others = others.join(first.select("a", "b"), ["a", "b"], "left_anti")
     second = _similar(materialize(others, "candidates"), rows)

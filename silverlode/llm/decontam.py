@@ -4,8 +4,8 @@ Texts are words (letters and digits in lower case), hashed into DIMENSIONS terms
 weighted by tf-idf; no word weighs nothing, common ones weigh less.  Each different text is worked on once, whatever its
 number of copies, and what is found is joined back to the rows that hold it.  A distributed randomised SVD of the passages-by-terms matrix A gives the latent
 space: every task adds up A' (A R) for a fixed random R, the sums are added in a tree, and the driver finds the leading
-right singular vectors V from that sketch (Nystroem form; terms x RANK numbers, whatever the corpus).  This space is
-fitted on a sample of about SKETCH passages; term counts, windows and matches take in every text.
+right singular vectors V from that sketch (Nystroem form; terms x RANK numbers, whatever the corpus).  Term counts, the
+sketch, windows and matches take in every text.
 
 Every window of every document, a new one each half WINDOW, is projected as V' x and compared with the benchmark's
 windows; those of a cosine of at least NEAR are candidates, if they hold OVERLAP of the rarer words asked for (of all its
@@ -48,8 +48,8 @@ BENCHMARK_BLOCK = 2000
 COMMON, COMMON_LEAST, DAMPED = 0.005, 50, 0.1
 #: Words of a run that makes a candidate whatever its cosine; odd multiplier of the run hashes (a fixed value).
 RUN, RUN_ODD = 4, 0x9E3779B97F4A7C15
-#: Passages that the latent space is fitted on: each of the terms is met about 2 000 times in so many.
-SKETCH = 1 << 19
+#: Passages whose part of the sketch is worked out at once.
+SKETCH = 1 << 11
 #: Words that are handled at once.
 CHUNK = 1 << 16
 #: Half windows that are projected at once.
@@ -165,8 +165,7 @@ def _first(batch: pa.RecordBatch, known: set[str]) -> pa.RecordBatch:
 
 
 def latent_space(words: DataFrame) -> Space:
-    """Randomised SVD of tf-idf passages; how often terms are seen is counted over all different texts (rows of ``tokens``),
-    the sketch is taken from a sample of them with SKETCH passages, give or take (all, if there are fewer)."""
+    """Randomised SVD of tf-idf passages; counts and sketch are taken over all different texts (rows of ``tokens``)."""
     rows = words.select("words")
 
     def count(batch: pa.RecordBatch, sums: np.ndarray) -> None:
@@ -182,23 +181,24 @@ def latent_space(words: DataFrame) -> Space:
     rng = np.random.default_rng(42)
     column, sign = rng.integers(0, RANK, DIMENSIONS), rng.choice([-1.0, 1.0], DIMENSIONS)
 
+    def add(terms: np.ndarray, passage: np.ndarray, passages: int, z: np.ndarray) -> None:
+        w = weight[terms]
+        w = w / np.sqrt(_sums(w * w, passage, passages) + 1e-12)[passage]
+        y = np.bincount(passage * RANK + column[terms], w * sign[terms], passages * RANK).reshape(-1, RANK).astype(np.float32)
+        order = np.argsort(terms, kind="stable")
+        ranked = terms[order]
+        edges = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+        z[ranked[edges]] += np.add.reduceat(y[passage[order]] * w[order][:, None].astype(np.float32), edges, axis=0)
+
     def sketch(batch: pa.RecordBatch, sums: np.ndarray) -> None:
         z = sums.reshape(DIMENSIONS, RANK)
         for _, words in _chunks(batch):
-            terms = (np.concatenate(words) % DIMENSIONS).astype(np.int64)
-            passage, text, _ = _blocks(words, WINDOW)
-            w = weight[terms]
-            w = w / np.sqrt(_sums(w * w, passage, len(text)) + 1e-12)[passage]
-            y = np.bincount(passage * RANK + column[terms], w * sign[terms], len(text) * RANK).reshape(-1, RANK).astype(np.float32)
-            order = np.argsort(terms, kind="stable")
-            ranked = terms[order]
-            edges = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-            if len(ranked):
-                z[ranked[edges]] += np.add.reduceat(y[passage[order]] * w[order][:, None].astype(np.float32), edges, axis=0)
-
-    share = min(1.0, SKETCH / max(1.0, passages))
-    if share < 1:  # ``same`` is a digest in hex: its first characters are as good as random
-        rows = words.where(F.conv(F.substring("same", 1, 8), 16, 10).cast("long") < int(share * (1 << 32))).select("words")
+            all_terms = (np.concatenate(words) % DIMENSIONS).astype(np.int64)
+            blocks, text, _ = _blocks(words, WINDOW)
+            edges = np.searchsorted(blocks, np.arange(0, len(text) + SKETCH, SKETCH))
+            for n, (begin, until) in enumerate(zip(edges[:-1], edges[1:])):
+                add(all_terms[begin:until], blocks[begin:until] - n * SKETCH, min(SKETCH, len(text) - n * SKETCH), z)
+
     z = partition_sums(rows, DIMENSIONS * RANK, sketch, "words", "sketch").reshape(DIMENSIONS, RANK)
     core = np.zeros((RANK, RANK))
     np.add.at(core, column, sign[:, None] * z)

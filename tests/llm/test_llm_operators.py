@@ -454,3 +454,16 @@ def test_leaks_of_repeated_rows_long_texts_and_clashing_columns(spark):
     asked = spark.createDataFrame([(5, bench)] * 2, "item_id long, text string")
     assert sorted((r.doc_id is not None, r.doc_id, r.item_id) for r in decontam.leaks(df, asked).collect()) == [(False, None, 5), (True, 0, 5), (True, 1, 5), (True, 2, 5)]
     assert [r.doc_id for r in decontam.without_leaks(df, asked).collect()] == [3, 3]
+
+
+def test_the_latent_space_takes_in_every_text(spark, monkeypatch):
+    """However small the steps of the sketch are, the space is that of all passages."""
+    df = docs(spark, [prose(k, 150) for k in range(200)])
+
+    def gram() -> np.ndarray:
+        v = decontam.latent_space(decontam.tokens(df)).rows.astype(float)
+        return v @ v.T
+
+    whole = gram()
+    monkeypatch.setattr(decontam, "SKETCH", 7)
+    assert np.allclose(gram(), whole, atol=1e-2 * np.abs(whole).max())

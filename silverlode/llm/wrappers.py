@@ -15,7 +15,7 @@ holds all pages of a host.  From the wrapper follow, for every page of the host,
 
 Character references are decoded, white space within a block becomes one space, blocks are joined in page order.  Scripts,
 styles, comments and hidden elements are never text.  Blocks deeper than DEPTH elements belong to their ancestor there.
-A wrapper of over SLOTS slots forgets those of a single page, which can tell nothing about its host.
+A wrapper holds every slot of its host's pages, those of a single page as well: it grows with what its pages differ in.
 
 Results: null and empty html gives the empty text; a page whose url has no host shares a wrapper with all such pages;
 unclosed, misnested and cut-off markup is read as far as it goes; very long pages are read whole; repeated rows all return;
@@ -40,7 +40,7 @@ from silverlode.llm.linededup import host_of
 from silverlode.session import materialize, scratch_path
 
 CONSTANT, LEAST = 0.8, 4
-DEPTH, SLOTS, HOSTS, SALTS, LONG_RUN = 100, 2000, 2000, 64, 8
+DEPTH, SHAPES, HOSTS, SALTS, LONG_RUN = 100, 2000, 2000, 64, 8
 #: Children of two nodes are aligned in full up to so many pairs, beyond it in order of their labels.
 PAIRS = 40_000
 #: Share of the remaining text that a container holds if the article lies in it; share of links that makes a menu.
@@ -331,10 +331,7 @@ class Page:
 _WRAPPER = "host string, wrapper string"
 
 
-def _small(wrapper: Slot) -> str:
-    if sum(1 for _ in wrapper.walk()) > SLOTS:
-        for slot in wrapper.walk():
-            slot.kids = [k for k in slot.kids if k.pages > 1]
+def _packed(wrapper: Slot) -> str:
     return json.dumps(wrapper.packed(), separators=(",", ":"))
 
 
@@ -351,7 +348,7 @@ class _Host:
         if known is None:
             slots = list(page.walk())
             merge(self.root, page)
-            if len(self.shapes) < SLOTS:
+            if len(self.shapes) < SHAPES:
                 self.shapes[shape] = slots
         else:
             for slot, new in zip(known, page.walk()):
@@ -364,7 +361,7 @@ def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hosts: dict[str | None, _Host] = {}
 
     def out() -> pa.RecordBatch:
-        found = pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array([_small(h.root) for h in hosts.values()], pa.string())], names=["host", "wrapper"])
+        found = pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array([_packed(h.root) for h in hosts.values()], pa.string())], names=["host", "wrapper"])
         hosts.clear()
         return found
 
@@ -382,7 +379,7 @@ def _merged(rows: pa.Table) -> pa.Table:
     whole = Slot("page", 0, 0)
     for packed in sorted(rows["wrapper"].to_pylist()):
         merge(whole, unpacked(json.loads(packed)))
-    return pa.table([rows["host"].slice(0, 1), pa.array([_small(whole)], pa.string())], names=["host", "wrapper"])
+    return pa.table([rows["host"].slice(0, 1), pa.array([_packed(whole)], pa.string())], names=["host", "wrapper"])
 
 
 def induced(pages: DataFrame) -> DataFrame:
@@ -479,7 +476,7 @@ class _Reader:
         page = Page(html)
         shape = page.root.shape()
         if shape not in shapes:
-            if len(shapes) >= SLOTS:
+            if len(shapes) >= SHAPES:
                 shapes.clear()
             shapes[shape] = []
             _assigned(root, page.root, shapes[shape])

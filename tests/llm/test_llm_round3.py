@@ -266,3 +266,22 @@ def test_near_duplicates_of_a_hot_group(spark, monkeypatch):
                 old, new = max(label[i], label[j]), min(label[i], label[j])
                 label = [new if x == old else x for x in label]
     assert [got[k] for k in range(len(texts))] == label
+
+
+def test_a_wrapper_keeps_the_slots_of_single_pages():
+    """However many slots a host has: what is known of it does not change with its size."""
+    import json
+
+    import pyarrow as pa
+
+    from silverlode.llm import wrappers
+
+    def merged(pages: list[wrappers.Slot]) -> list[str]:
+        made = [json.dumps(page.packed()) for page in pages]
+        found = wrappers._merged(pa.table({"host": ["h"] * len(made), "wrapper": made}))
+        return [s.label for s in wrappers.unpacked(json.loads(found["wrapper"][0].as_py())).walk()]
+
+    for n in (3, 2500):
+        page = wrappers.Slot("page", 0, kids=[wrappers.Slot(f"div.q{k}", 0) for k in range(n)])
+        other = wrappers.Slot("page", 0, kids=[wrappers.Slot("p", 0)])
+        assert {f"div.q{k}" for k in range(n)} | {"p"} <= set(merged([page, other]))

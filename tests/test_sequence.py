@@ -2,6 +2,7 @@
 
 import datetime
 import random
+import re
 from decimal import Decimal
 
 import pytest
@@ -103,3 +104,19 @@ def test_building_a_mart_runs_no_job(spark):
     found = spark.sparkContext.statusTracker().getJobIdsForGroup("built")
     spark.sparkContext.setJobGroup("other", "")
     assert len(found) == 0
+
+
+def test_first_of_each_moves_only_hot_keys_twice(spark, monkeypatch):
+    """One window per key for all but hot keys, which are spread; the same rows are first either way."""
+    rows_of = [("a", k % 40, k % 3 > 0) for k in range(300)] + [(None, k, True) for k in range(150)] + [(f"k{k}", k, True) for k in range(50)] * 2
+    df = spark.createDataFrame(rows_of, "k string, id int, ok boolean").repartition(7)
+
+    def found():
+        return sq.first_of_each(df, ["k"], ["id"], F.col("ok"), "first")
+
+    whole = sorted(rows(found()), key=repr)
+    plan = found()._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"hashpartitioning\(k#\d+, _among#\d+, \d+\)", plan)) == 1
+    monkeypatch.setattr(sq, "HOT_ROWS", 100)
+    assert sorted(rows(found()), key=repr) == whole
+    assert len(whole) == 550 and sum(r[-1] for r in whole) == 52

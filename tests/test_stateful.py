@@ -122,3 +122,37 @@ def test_windows_are_exact_on_a_stream(spark, tmp_path):
     plain = frame.groupBy(F.window("at", "10 minutes").start.alias("window_start")).agg(
         F.count("*"), F.sum("amount"), F.sum("amount").cast("double") / F.count("amount"), F.count_distinct("id"), F.count_distinct("buyer"))
     assert rows(batch) == rows(plain)
+
+
+def test_a_batch_of_a_key_is_put_by_with_one_call():
+    """Calls of the state grow with batches, not with events."""
+    from types import SimpleNamespace
+
+    calls = []
+
+    class State:
+        def __init__(self):
+            self.held = None
+
+        def __getattr__(self, name):
+            def call(*given):
+                calls.append(name)
+                if name == "appendList":
+                    self.held = [*(self.held or []), *given[0]]
+                elif name in ("update", "put"):
+                    self.held = given[0]
+                elif name == "clear":
+                    self.held = None
+                return self.held is not None if name == "exists" else iter(self.held) if name == "get" else None
+
+            return call
+
+    handle = SimpleNamespace(getValueState=lambda *_: State(), getListState=lambda *_: State(), getMapState=lambda *_: State(), registerTimer=lambda _: None)
+    keyed = stateful._Statuses(False, None)
+    keyed.init(handle)
+    events = [SimpleNamespace(at=k // 2 * 1000, tie=k // 2, status="AB"[k // 20 % 2]) for k in range(200)]
+    list(keyed.handleInputRows(("k",), iter(events), None))
+    assert len(calls) == 1
+    out = list(keyed.handleExpiredTimer(("k",), SimpleNamespace(getCurrentWatermarkInMs=lambda: 10_000), None))
+    assert len(calls) < 8
+    assert [r.new_status for r in out] == ["A", "B"] * 5 and [r.status_changed_at for r in out] == [k * 10_000 for k in range(10)]

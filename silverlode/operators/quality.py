@@ -165,11 +165,13 @@ def statistics(validated: DataFrame, rules: Sequence[Rule], run_id: int) -> Data
 
 
 def error_summary(errors: DataFrame) -> DataFrame:
-    return (
-        errors.groupBy("validate_column", "validation_type", "validation_error_msg")
-        .agg(F.count(F.lit(1)).alias("error_count"))
-        .orderBy(F.col("error_count").desc())
-    )
+    """Errors by message, the most frequent first.
+
+    Messages show values, so most of them occur once: ordered by their count alone, they would all be sorted by one task.
+    """
+    what = ["validate_column", "validation_type", "validation_error_msg"]
+    counted = errors.groupBy(*what).agg(F.count(F.lit(1)).alias("error_count"))
+    return counted.orderBy(F.col("error_count").desc(), *what)
 
 
 def pass_rates(runs: DataFrame) -> DataFrame:

@@ -18,11 +18,13 @@ from workbook.core import case
 EVER, CLOSED = "8000 days", 30000
 
 
-def files_of(rows: DataFrame, at: str, key: str, parts: int = 4) -> str:
-    """A folder with ``rows`` in files that are in no order of time, and the closing row."""
-    folder = scratch_path(rows.sparkSession, "stream-files")
-    rows.repartition(parts, F.xxhash64(*rows.columns)).write.parquet(folder)
-    stateful.closing(rows, at, key, -1, CLOSED).write.mode("append").parquet(folder)
+def files_of(rows: DataFrame, at: str, key: str) -> str:
+    """A folder with ``rows`` in files that are in no order of time, as many as their size asks for, and the closing row."""
+    spark = rows.sparkSession
+    folder = scratch_path(spark, "stream-files")
+    rows.repartition(F.xxhash64(*rows.columns)).write.parquet(folder)
+    # of what was written, so that the rows are worked out once
+    stateful.closing(spark.read.schema(rows.schema).parquet(folder), at, key, -1, CLOSED).write.mode("append").parquet(folder)
     return folder
 
 

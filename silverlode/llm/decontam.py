@@ -52,7 +52,7 @@ RUN, RUN_ODD = 4, 0x9E3779B97F4A7C15
 SKETCH = 1 << 11
 #: Words that are handled at once.
 CHUNK = 1 << 16
-#: Half windows that are projected at once.
+#: Pieces of HALF rows that are summed at once.
 STEP = 256
 
 _WORD_BYTES = bytes(b if 48 <= b < 58 or 97 <= b < 123 or b >= 128 else 32 for b in range(256))
@@ -129,6 +129,25 @@ def _sums(rows: np.ndarray, key: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def _sums_of_rows(rows: np.ndarray, index: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of ``rows[index]`` over the runs of ``index`` that begin at ``starts``.
+
+    Runs are cut into pieces of HALF and filled up with a row of zeros, so that a piece is summed by a product with ones;
+    STEP pieces at a time, so that what is looked up at once fits a processor's cache.
+    """
+    lengths = np.diff(starts, append=len(index))
+    counts = -(-lengths // HALF)
+    first = np.cumsum(counts) - counts
+    padded = np.full(counts.sum() * HALF, len(rows), np.intp)
+    padded[np.arange(len(index)) + np.repeat(first * HALF - starts, lengths)] = index
+    padded = padded.reshape(-1, HALF)
+    rows, ones = np.concatenate((rows, np.zeros_like(rows[:1]))), np.ones(HALF, rows.dtype)
+    out = np.empty((len(padded), rows.shape[1]), rows.dtype)
+    for a in range(0, len(padded), STEP):
+        out[a : a + STEP] = ones @ rows.take(padded[a : a + STEP], axis=0)
+    return out if len(out) == len(starts) else np.add.reduceat(out, first, axis=0)
+
+
 @dataclass(frozen=True)
 class Space:
     """Projects terms into the latent space: one row per term, tf-idf weight included; and how often each was seen."""
@@ -142,10 +161,7 @@ class Space:
         block, text, first = _blocks(words, HALF)
         terms = np.concatenate(words) % DIMENSIONS
         starts = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
-        sums = np.empty((len(starts), self.rows.shape[1]), self.rows.dtype)
-        for a in range(0, len(starts), STEP):  # what is looked up at once fits a processor's cache
-            until = starts[a + STEP] if a + STEP < len(starts) else len(terms)
-            sums[a : a + STEP] = np.add.reduceat(self.rows[terms[starts[a] : until]], starts[a : a + STEP] - starts[a], axis=0)
+        sums = _sums_of_rows(self.rows, terms, starts)
         follows = np.concatenate((text[1:] == text[:-1], [False]))
         whole = follows | (first == 0)  # a last half stands alone only if it is all there is
         joined = sums[whole]
@@ -180,20 +196,22 @@ def latent_space(words: DataFrame) -> Space:
     # the random matrix R has one entry a term: +1 or -1 in one of RANK columns
     rng = np.random.default_rng(42)
     column, sign = rng.integers(0, RANK, DIMENSIONS), rng.choice([-1.0, 1.0], DIMENSIONS)
+    signed = weight * sign
 
     def add(terms: np.ndarray, passage: np.ndarray, passages: int, z: np.ndarray) -> None:
-        w = weight[terms]
-        w = w / np.sqrt(_sums(w * w, passage, passages) + 1e-12)[passage]
-        y = np.bincount(passage * RANK + column[terms], w * sign[terms], passages * RANK).reshape(-1, RANK).astype(np.float32)
-        order = np.argsort(terms, kind="stable")
+        # a word weighs weight / length of its passage: lengths divide whole passages, weights multiply sums of a term
+        square = _sums(weight[terms] ** 2, passage, passages) + 1e-12
+        y = np.bincount(passage * RANK + column[terms], signed[terms], passages * RANK).reshape(-1, RANK)
+        y = (y / square[:, None]).astype(np.float32)
+        order = np.argsort(terms, kind="stable")  # by radix: terms have 16 bits
         ranked = terms[order]
         edges = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-        z[ranked[edges]] += np.add.reduceat(y[passage[order]] * w[order][:, None].astype(np.float32), edges, axis=0)
+        z[ranked[edges]] += weight[ranked[edges], None] * _sums_of_rows(y, passage[order], edges)
 
     def sketch(batch: pa.RecordBatch, sums: np.ndarray) -> None:
         z = sums.reshape(DIMENSIONS, RANK)
         for _, words in _chunks(batch):
-            all_terms = (np.concatenate(words) % DIMENSIONS).astype(np.int64)
+            all_terms = (np.concatenate(words) % DIMENSIONS).astype(np.uint16)
             blocks, text, _ = _blocks(words, WINDOW)
             edges = np.searchsorted(blocks, np.arange(0, len(text) + SKETCH, SKETCH))
             for n, (begin, until) in enumerate(zip(edges[:-1], edges[1:])):
@@ -282,9 +300,12 @@ class Shared:
 
     def enough(self, codes: np.ndarray, begin: np.ndarray, until: np.ndarray, asked: np.ndarray) -> np.ndarray:
         """Whether a window of words holds as many of the words asked for in a benchmark window as a leak needs."""
-        at = begin[:, None] + np.arange(WINDOW)
-        found = self.member[asked[:, None], codes[np.minimum(at, len(codes) - 1)]] & (at < until[:, None])
-        return found.sum(axis=1) >= self.least[asked]
+        none = len(self.vocabulary)
+        held = np.lib.stride_tricks.sliding_window_view(np.concatenate((codes, np.full(WINDOW, none))), WINDOW)[begin]
+        short = np.flatnonzero(until - begin < WINDOW)
+        held[short] = np.where(np.arange(WINDOW) < (until - begin)[short, None], held[short], none)
+        held += (asked * (none + 1))[:, None]
+        return np.count_nonzero(self.member.ravel().take(held), axis=1) >= self.least[asked]
 
 
 def _asked(space: Space, items: list[Item]) -> tuple[np.ndarray, np.ndarray, Shared]:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlode.session import materialize
+from silverlode.session import materialize, release
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -80,11 +80,15 @@ def partition_sums(rows: DataFrame, size: int, add: Callable[[pa.RecordBatch, np
         yield _sums_row(sums)
 
     parts = rows.coalesce(tasks).mapInArrow(run, "sums binary")
+    written = None
     while True:
-        parts = materialize(parts, label)
-        count = parts.count()
+        parts, before = materialize(parts, label), written
+        if before is not None:
+            release(before)
+        written, count = parts, parts.count()
         if count <= 1:
             found = parts.first()
+            release(parts)
             return np.zeros(size) if found is None else np.frombuffer(found.sums, np.float32).astype(float)
         groups = int(count**0.5) if count > 16 else 1
         parts = parts.repartition(groups).mapInArrow(_added, "sums binary")

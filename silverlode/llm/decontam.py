@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.llm.common import partition_sums, slices, texts_of
-from silverlode.session import materialize
+from silverlode.session import materialize, release
 
 DIMENSIONS, RANK, WINDOW = 1 << 13, 64, 32
 HALF = WINDOW // 2
@@ -436,11 +436,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str =
             searched(block)
             block = []
     searched(block)
+    found = None if found is None else materialize(found, "leaks")
+    release(rows)
     if found is None:
         return docs.sparkSession.createDataFrame([], SCHEMA.replace("same string", "doc_id long"))
     # from texts back to the rows that hold them
     holders = docs.select(F.col(id).cast("long").alias("doc_id"), same_text(F.col(text).cast("string")).alias("same"))
-    found = holders.join(materialize(found, "leaks"), "same").drop("same")
+    found = holders.join(found, "same").drop("same")
     order = F.struct(F.col("share"), F.col("similarity"), -F.col("first_word"))
     best = found.groupBy("doc_id", "item_id").agg(F.max(order).alias("best"))
     return best.select("doc_id", "item_id", "best.share", "best.similarity", (-F.col("best.col3")).alias("first_word"))

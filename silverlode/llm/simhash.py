@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from silverlode.llm.common import per_slice, record_batch, texts_of
 from silverlode.llm.graph import components
-from silverlode.session import materialize
+from silverlode.session import materialize, release
 
 SEED = 42
 #: Rows of one key that are compared at once.
@@ -317,7 +317,10 @@ def _wide_marks(docs: DataFrame) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b, alike) for each pair of ids: whether the shingle sets of their texts (doc_id, text) are SIMILAR, counted exactly."""
+    """(a, b, alike) for each pair of ids: whether the shingle sets of their texts (doc_id, text) are SIMILAR, counted exactly.
+
+    ``pairs`` is a written table, which is removed.
+    """
     shingle = WIDE["shingle"]
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -337,7 +340,10 @@ def _similar(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     left = held.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
     right = held.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
     met = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
-    return materialize(met.mapInArrow(compared, "a long, b long, alike boolean"), "compared")
+    found = materialize(met.mapInArrow(compared, "a long, b long, alike boolean"), "compared")
+    release(held)  # larger than the texts
+    release(pairs)
+    return found
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -59,3 +59,13 @@ def test_gold_is_staged_with_one_move_a_side(spark, tmp_path, monkeypatch):
     gold = engine.layer.read("fact_order")
     assert gold.where(F.col("row_hash") == row_hash(source.silver_names)).count() == gold.count() == 40
     assert len(re.findall(r"Exchange hashpartitioning", plans["fact_order", "B2"])) == 2
+
+
+def test_hashes_are_neither_moved_nor_staged_and_a_stale_one_still_counts(spark, as_rows):
+    active = opened(spark, [("a", "1", 1), ("b", "2", 2), ("c", "3", 3), ("d", None, 4)])
+    active = active.withColumn("row_hash", F.when(F.col("id") == "c", F.sha2(F.lit("of other values"), 256)).otherwise(F.col("row_hash")))
+    batch = spark.createDataFrame([("b", "2", 2), ("c", "3", 3), ("d", "4", 4), ("e", "5", 5)], "id string, v string, w int").withColumn(BUCKET, F.lit(0))
+    staged = scd2.versions_after(active, batch, ["id"], TRACKED, batch_id="B2", now=on(2))
+    assert [(r.id, r.status) for r in staged.where("row_hash IS NOT NULL").collect()] == [("c", "INACTIVE")]
+    before = scd2.apply_changes(active, scd2.detect_changes(active, batch, ["id"], TRACKED), ["id"], batch_id="B2", now=on(2))
+    assert as_rows(scd2.unpack_hash(staged, TRACKED)) == as_rows(before) and before.count() == 7

@@ -90,7 +90,7 @@ def tokens(docs: DataFrame, text: str = "text") -> DataFrame:
             yield _first(batch, known)
 
     kinds = "same string, words binary"
-    return materialize(rows.mapInArrow(read, kinds).repartition("same").mapInArrow(once, kinds), "words")
+    return materialize(rows.mapInArrow(read, kinds).repartition("same").mapInArrow(once, kinds), "words", compression="zstd")
 
 
 def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[np.ndarray]]]:

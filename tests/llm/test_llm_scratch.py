@@ -36,3 +36,9 @@ def test_decontamination_leaves_no_words(spark, scratch):
     assert {(r.doc_id, r.item_id) for r in decontam.leaks(docs, bench).collect()} == {(4, 1), (5, 1)}
     assert decontam.leaks(docs, bench.limit(0)).count() == 0
     assert not kinds(scratch) & {"words", "terms", "sketch"} and "given" in kinds(scratch)
+
+
+def test_words_are_written_by_the_stronger_codec(spark):
+    rows = decontam.tokens(spark.createDataFrame(texts(20), "doc_id long, text string"))
+    assert rows.count() == 20 and rows.inputFiles()
+    assert all(".zstd." in file for file in rows.inputFiles())
